@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, lm, packing, simhash, toxicity
+from sluice.llm import chat, lines, lm, packing, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,12 +85,50 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, ~held_out, keep={"held_out": held_out})
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select("doc_id", "n_removed", "text")
+
+
+OP8_SQL = r"""
+WITH lined AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL
+), line AS (
+  SELECT doc_id, unnest(ls) AS line, unnest(generate_series(0, len(ls) - 1)) AS p FROM lined
+), worded AS (
+  SELECT *, len(regexp_extract_all(line, '\S+')) AS w FROM line
+), numbered AS (
+  SELECT doc_id, p, line, w, row_number() OVER d AS i, sum(w) OVER d AS c
+  FROM worded WHERE w > 0 WINDOW d AS (PARTITION BY doc_id ORDER BY p)
+), cut AS (
+  SELECT a.doc_id, a.i, a.p AS p0, min(b.i) AS j, min(b.p) AS p1
+  FROM numbered a JOIN numbered b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.c >= a.c - a.w + 50
+  GROUP BY ALL
+), whole AS (
+  SELECT doc_id, list(line ORDER BY i) AS all_lines FROM numbered GROUP BY doc_id
+), run AS (
+  SELECT cut.*, row_number() OVER (PARTITION BY array_to_string(all_lines[i:j], chr(10)) ORDER BY doc_id, i) AS copy
+  FROM cut JOIN whole USING (doc_id)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(p0, p1)) AS p FROM run WHERE copy > 1
+), kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY p) AS text FROM line ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+), removed AS (
+  SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::INT AS n_removed,
+       CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
+FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
     "op3_chat_format": op3_chat_format,
     "op5_simhash": op5_simhash,
     "op7_lm_score": op7_lm_score,
+    "op8_line_dedup": op8_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_chat_format": OP3_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_chat_format": OP3_SQL, "op8_line_dedup": OP8_SQL}
