@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, lines, lm, packing, simhash, toxicity
+from sluice.llm import chat, decontam, embeddings, lines, lm, packing, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -122,6 +122,38 @@ FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
 """
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document and benchmark item that it holds; clean documents have none."""
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    return decontam.contaminated(docs, items)
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP10_SQL = """
+WITH RECURSIVE unit AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.95
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), component AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), degree AS (
+  SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM component LEFT JOIN degree USING (vec_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
@@ -129,6 +161,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
     "op7_lm_score": op7_lm_score,
     "op8_line_dedup": op8_line_dedup,
+    "op9_decontaminate": op9_decontaminate,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_chat_format": OP3_SQL, "op8_line_dedup": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_chat_format": OP3_SQL, "op8_line_dedup": OP8_SQL, "op10_embedding_dedup": OP10_SQL}
