@@ -10,21 +10,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import packing, simhash
+from sluice.llm import decontam, lines, packing, simhash, toxicity
 from sluice.llm.common import Scratch
 from sluice.llm.queries import table
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.7 or more go; the machine learns from those of docs that ``labels`` covers."""
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, machine, name="__score").where("__score < 0.7").drop("__score")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs are deleted; ``n_chars`` follows, where docs has it. All rows stay."""
+    out = lines.dedup_lines(docs).drop("n_removed")
+    return out.withColumn("n_chars", F.length("text").cast(dict(out.dtypes)["n_chars"])) if "n_chars" in out.columns else out
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: that with the smallest id.
 
-    Five-word shingles. Rows that repeat a document's id and text stay once; of rows
-    with a null id a group keeps one.
+    Five-word shingles. Of rows that share an id one stays; a group of rows with a
+    null id keeps one of them.
     """
-    found = simhash.near_duplicates(docs, width=5)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(first.withColumnRenamed("doc_id", "__keep"), F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    found = simhash.near_duplicates(docs, width=5).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
+    first = found.select(key.alias("__key")).distinct()
+    return docs.withColumn("__key", key).join(first, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +51,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), payload="crc32")
 
 
-STAGES = [("near_dedup", near_dedup), ("packing", pack)]
+STAGES = [("toxicity", toxic), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontamination", decontaminate), ("packing", pack)]
 
 #: Fingerprints, models and token ids are beyond SQL; tests hold each stage against a plain version.
 ORACLE_SQL = None

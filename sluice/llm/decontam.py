@@ -270,14 +270,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
 def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), text_col: str = "text", benchmark_text: str = "text", item_col: str = "item_id") -> DataFrame:
     """``docs`` without the rows whose text holds an item; see ``contaminated``. No shuffle."""
     for items in item_blocks(benchmark, settings, item_col, benchmark_text):
-        sent = docs.sparkSession.sparkContext.broadcast(items)
+        docs = docs.where(_free(docs.sparkSession.sparkContext.broadcast(items))(F.col(f"`{text_col}`")))
+    return docs
 
-        @F.pandas_udf("boolean")
-        def free(texts: pd.Series, sent=sent) -> pd.Series:
-            out, hashes = np.ones(len(texts), bool), WordHashes()
-            for first, hits in _searched(texts, sent.value, hashes):
-                out[[first + h[0] for h in hits]] = False
-            return pd.Series(out)
 
-        docs = docs.where(free(F.col(f"`{text_col}`")))
-    return docs
+def _free(sent):
+    @F.pandas_udf("boolean")
+    def free(texts: pd.Series) -> pd.Series:
+        out, hashes = np.ones(len(texts), bool), WordHashes()
+        for first, hits in _searched(texts, sent.value, hashes):
+            out[[first + h[0] for h in hits]] = False
+        return pd.Series(out)
+
+    return free
