@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, decontam, embeddings, lines, lm, packing, simhash, toxicity
+from sluice.llm import chat, decontam, embeddings, html, lines, lm, packing, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    text = html.extract_text(pages, html.train(list(html.labelled_pages())))
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents").select("doc_id", "text"), crc_is_one("doc_id", 5)
     return lm.score(docs, ~held_out, keep={"held_out": held_out})
@@ -159,6 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_chat_format": op3_chat_format,
     "op5_simhash": op5_simhash,
+    "op6_html_text": op6_html_text,
     "op7_lm_score": op7_lm_score,
     "op8_line_dedup": op8_line_dedup,
     "op9_decontaminate": op9_decontaminate,
