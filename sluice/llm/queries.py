@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, decontam, embeddings, html, lines, lm, packing, simhash, toxicity
+from sluice.llm import chat, decontam, embeddings, html, lines, lm, packing, simhash, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,10 @@ FROM s GROUP BY conv_id
 """
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(substring.dedup_substrings(table(spark, sf_dir, "documents")))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -164,6 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
     "op3_chat_format": op3_chat_format,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash": op5_simhash,
     "op6_html_text": op6_html_text,
     "op7_lm_score": op7_lm_score,
