@@ -50,7 +50,7 @@ def checks(policy: Policy, column: str) -> list[tuple[str, Column]]:
         "min_age": lambda: (f"age_{low}_{high}", F.round(V.years(t, today), 1).between(low, high)),
         "not_future": lambda: ("not_in_future", t <= F.lit(today)),
     }
-    return [build[k]() for k in build if k in spec and spec[k] not in (None, False)]
+    return [build[k]() for k in build if spec.get(k) is not None and spec[k] is not False]
 
 
 def cross(check: CrossCheck, columns: list[str]) -> Column:
