@@ -55,9 +55,11 @@ def shape(word: bytes, buckets: int) -> int:
 
 @dataclass(frozen=True)
 class Settings:
-    frequent: int = 1 << 19
+    """``frequent``: words whose counts are sent to workers at most; ``clustered``: the most common ones, with a symbol each."""
+
+    frequent: int = 1 << 18
     clustered: int = 1000
-    buckets: int = 512
+    buckets: int = 384
     classes: int = 48
     sweeps: int = 12
     prior: float = 50.0
@@ -96,6 +98,29 @@ def word_counts(train: DataFrame, settings: Settings) -> DataFrame:
     return rows.groupBy("h").agg(F.max("shape").alias("shape"), F.sum("n").alias("n")).where("n > 0")
 
 
+def frequent_words(counts: DataFrame, most: int) -> pd.DataFrame:
+    """The most common words, ``most`` at most, by falling count.
+
+    Counts are binned by their logarithm, and all words above the bin that would be
+    too many are fetched; no sort, and only the bins besides.
+    """
+    words = counts.where(F.col("h") != END_HASH)
+    bins = words.groupBy(F.floor(F.log2("n") * 8).alias("bin")).count().orderBy(F.desc("bin")).collect()
+    least, have = None, 0
+    for b in bins:
+        have += b["count"]
+        if have > most:
+            break
+        least = b["bin"]
+    found = fetched(words.where(F.floor(F.log2("n") * 8) >= F.lit(least if least is not None else 1 << 20)).select("h", "shape", "n"))
+    return found.sort_values(["n", "h"], ascending=[False, True], ignore_index=True)
+
+
+def fetched(df: DataFrame) -> pd.DataFrame:
+    """A bounded result on the driver, as Arrow throughout: rows as Python objects would take ten times the room."""
+    return df.toArrow().to_pandas(split_blocks=True, self_destruct=True)
+
+
 class Vocabulary:
     """Count, symbol and hash of words, by the broadcast table of frequent words."""
 
@@ -176,7 +201,6 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int) -> np.ndarray:
     in the class where the class bigrams' likelihood is highest, until a sweep moves
     none.
     """
-    pairs = pairs.astype(float)
     size = len(pairs)
     weight = pairs.sum(0) + pairs.sum(1)
     order = np.argsort(-weight, kind="stable")
@@ -247,14 +271,15 @@ def score(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: st
     learn = docs.where(F.coalesce(train, F.lit(False))).select(name(text_col).alias("text"))
     counts = scratch.write(word_counts(learn, settings), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.where(F.col("h") != END_HASH).orderBy(F.desc("n"), "h").limit(settings.frequent).toPandas()
+    top = frequent_words(counts, settings.frequent)
     ends = counts.where(F.col("h") == END_HASH).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     symbol = np.where(np.arange(len(top)) < settings.clustered, np.arange(len(top)), -1)
     order = np.argsort(top["h"].to_numpy())
     table = spark.sparkContext.broadcast((top["h"].to_numpy()[order], top["n"].to_numpy()[order], symbol[order]))
-    found = bigrams(learn, table, settings).toPandas()
+    found = fetched(bigrams(learn, table, settings))
     pairs = np.zeros(settings.symbols**2)
-    pairs[found["pair"]] = found["n"]
+    pairs[found["pair"].to_numpy()] = found["n"].to_numpy()
+    del found
     pairs = pairs.reshape(settings.symbols, -1)
     cls = exchange(pairs, settings.classes, settings.sweeps)
     steps, emit = class_tables(pairs, cls, settings.classes, settings.prior)
