@@ -14,6 +14,7 @@ that agree on all bytes are verified byte by byte.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import Scratch
 
-#: Bytes hashed at once; bytes whose records a task holds together; rows and windows looked at together.
-BLOCK, FLUSH, ROWS, WINDOWS = 1 << 21, 1 << 25, 1 << 18, 1 << 18
+#: Bytes hashed at once; bytes whose records a task holds together; rows looked at together.
+BLOCK, FLUSH, ROWS = 1 << 20, 1 << 25, 1 << 18
 #: Contexts of one anchor string beyond which their windows go to other tasks each by itself.
 HOT = 4096
 GRAM = 32
@@ -35,14 +36,15 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _PLACE = np.uint64((1 << 24) - 1)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    x = np.full(n, base, np.uint64)
-    x[0] = 1
-    return np.cumprod(x, dtype=np.uint64)
-
-
-_MOST = 4 * BLOCK
-_UP, _DOWN = _powers(_BASE, _MOST), _powers(pow(_BASE, -1, 1 << 64), _MOST)
+@functools.cache
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2 ** 64, as many as bytes are hashed at once; made where they are used."""
+    tables = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        x = np.full(2 * BLOCK + (1 << 12), base, np.uint64)
+        x[0] = 1
+        tables.append(np.cumprod(x, dtype=np.uint64))
+    return tuple(tables)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -57,12 +59,13 @@ class Prefixes:
     """Prefix polynomial hashes of some bytes; the hash of any stretch in constant time."""
 
     def __init__(self, data: np.ndarray):
+        self.up, down = powers()
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _DOWN[: len(data)], out=self.sums[1:])
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * down[: len(data)], out=self.sums[1:])
 
     def hash(self, at: np.ndarray, length) -> np.ndarray:
         """Modulo 2 ** 64, unmixed: equal stretches have equal hashes wherever they lie."""
-        return (self.sums[at + length] - self.sums[at]) * _UP[at]
+        return (self.sums[at + length] - self.sums[at]) * self.up[at]
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -258,12 +261,12 @@ class SuffixSort:
 
     def common(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Bytes that suffixes have in common, by binary search on the hashes of their prefixes."""
-        n, sums = np.zeros(len(x), np.int64), self.prefixes.sums
+        n, sums, up = np.zeros(len(x), np.int64), self.prefixes.sums, self.prefixes.up
         for step in self.steps:
             fits = n + step <= self.length
             a, b = x + n, y + n
             end_a, end_b = np.where(fits, a + step, a), np.where(fits, b + step, b)
-            same = fits & ((sums[end_a] - sums[a]) * _UP[a] == (sums[end_b] - sums[b]) * _UP[b])
+            same = fits & ((sums[end_a] - sums[a]) * up[a] == (sums[end_b] - sums[b]) * up[b])
             n += step * same
         return n
 
@@ -346,8 +349,9 @@ def match_contexts(length: int):
         key, lo, d, contexts = x["key"].to_numpy(), x["lo"].to_numpy(), x["d"].to_numpy().astype(np.int64), x["context"].tolist()
         group = np.concatenate(([0], np.cumsum(h[1:] != h[:-1])))
         at = 0
-        while at < len(x):  # whole groups, with a bounded number of windows in all
-            many = int(np.searchsorted(np.cumsum(n[at:]), WINDOWS)) + at
+        ends = np.cumsum([len(c) for c in contexts])
+        while at < len(x):  # whole groups, with a bounded number of bytes in all; one group has no more than HOT contexts
+            many = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK))
             stop = len(x) if many >= len(x) else int(np.searchsorted(group, group[many]))
             stop = stop if stop > at else int(np.searchsorted(group, group[at], side="right"))
             s = slice(at, stop)
