@@ -30,10 +30,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: that with the smallest id.
 
-    Five-word shingles. Of rows that share an id one stays; a group of rows with a
-    null id keeps one of them.
+    Near duplicates have a similarity of 0.8 or more of their five-word shingles, by
+    wide SimHash fingerprints. Of rows that share an id one stays; a group of rows
+    with a null id keeps one of them.
     """
-    found = simhash.near_duplicates(docs, width=5).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = simhash.similar(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
     first = found.select(key.alias("__key")).distinct()
     return docs.withColumn("__key", key).join(first, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)

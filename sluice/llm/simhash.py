@@ -1,7 +1,19 @@
-"""SimHash near-duplicate detection by pigeonhole blocks."""
+"""SimHash near-duplicate detection by pigeonhole blocks.
+
+``near_duplicates`` links 64-bit fingerprints that differ in a few bits: blocks
+that any such pair must share are joined, and distances verified. ``similar`` asks
+for texts of a given similarity instead. At similarity 0.8 a seventh of the bits
+differ, so no 64-bit fingerprint can be split into selective blocks that such a
+pair must share; it takes fingerprints of many more bits, cut into so many blocks
+that a pair shares one but for a stated chance, and verifies the distance over all
+bits.
+"""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -10,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import components, cut
+from sluice.llm.common import Scratch, components, cut
 
 #: Members of a block up to which its pairs are compared one by one.
 PAIRS_UP_TO = 32
@@ -105,3 +117,199 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lows = named.groupBy("component").agg(F.min("low").alias("component_id"))
     classes = named.join(lows, "component").select("fp", "component_id")
     return own.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+@dataclass(frozen=True)
+class Plan:
+    """How many bits a wide fingerprint has, how they are cut, and how far apart similar texts may lie.
+
+    ``miss``: chance that a pair at the very similarity shares no block. ``slack``:
+    standard deviations of the distance of such a pair, below which a pair is taken to
+    be similar enough and above which not; those between are compared by their texts.
+    """
+
+    documents: int
+    similarity: float = 0.8
+    miss: float = 0.01
+    slack: float = 2.5
+    least_bits: int = 1024
+
+    @property
+    def differ(self) -> float:
+        """Share of bits in which a pair at the similarity differs: its angle, by the cosine of equally large shingle sets."""
+        return math.acos(2 * self.similarity / (1 + self.similarity)) / math.pi
+
+    @property
+    def block(self) -> int:
+        """Bits of a block, so that a block's value is shared by about one document."""
+        return min(48, max(8, math.ceil(math.log2(max(2, self.documents)))))
+
+    @property
+    def blocks(self) -> int:
+        need = math.ceil(math.log(self.miss) / math.log1p(-((1 - self.differ) ** self.block)))
+        return max(need, self.least_bits // self.block)
+
+    @property
+    def words(self) -> int:
+        return -(-self.blocks * self.block // 64)
+
+    def radius(self, side: int) -> int:
+        """Greatest distance of sure pairs (side -1), or of any that may be similar (side 1)."""
+        bits = 64 * self.words
+        return int(bits * self.differ + side * self.slack * math.sqrt(bits * self.differ * (1 - self.differ)))
+
+    @property
+    def first_radius(self) -> int:
+        """For the first 64 bits alone, wide enough for practically all pairs in the radius."""
+        return int(64 * self.differ + 3.5 * math.sqrt(64 * self.differ * (1 - self.differ)))
+
+
+def wide_fingerprint(words: list[bytes], width: int, n: int) -> np.ndarray:
+    """``n`` 64-bit SimHashes of a text's shingles as one row of unsigned integers, from hashes that one XXH64 a shingle is stirred into."""
+    line = memoryview(b" ".join(words))
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    count = max(1, len(words) - width + 1)
+    starts, ends = starts[:count].tolist(), ends[min(width, len(words)) - 1 :].tolist()
+    one, ones, stir = xxhash.xxh64_intdigest, np.zeros(64 * n, np.int64), _stirs(n)
+    for i in range(0, count, 2048):
+        h = np.fromiter((one(line[s:e]) for s, e in zip(starts[i : i + 2048], ends[i : i + 2048])), np.uint64)
+        x = h[:, None] * stir
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+        bits = np.unpackbits(x.astype("<u8").view(np.uint8), axis=1, bitorder="little")
+        for j in range(0, len(bits), 255):  # 255 rows fit a byte
+            ones += np.add.reduce(bits[j : j + 255], axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > count, bitorder="little").view("<u8")
+
+
+def _stirs(n: int) -> np.ndarray:
+    return np.random.default_rng(20231101).integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _block_values(prints: np.ndarray, plan: Plan) -> np.ndarray:
+    """Value of each block of wide fingerprints, a row each."""
+    bits = np.unpackbits(prints.astype("<u8").view(np.uint8).reshape(len(prints), -1), axis=1, bitorder="little")[:, : plan.blocks * plan.block]
+    return bits.reshape(len(prints), plan.blocks, plan.block) @ (np.int64(1) << np.arange(plan.block, dtype=np.int64))
+
+
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, pairs_up_to: int = 64) -> DataFrame:
+    """One row per document: (id, h, component_id), component_id the smallest id reachable over similar texts.
+
+    Similarity is the Jaccard index of the sets of ``width``-word shingles. Wide
+    fingerprints find the pairs and settle those far from the threshold; the others are
+    settled by their texts, if no sure links join them already. ``h`` is a hash of the
+    text's words; texts of the same words, also those without any, are one node.
+    Rows with a null id take part; repeated rows come back repeated; an empty table
+    gives an empty result. Only the id and text columns are read.
+
+    Blocks shared by more than ``pairs_up_to`` texts are not paired off: each text is
+    compared with one of them, and once the components of that are known, each text
+    outside the block's largest component with all texts of other components. A
+    pair within a component adds nothing, so no link is lost.
+    """
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
+    plan = Plan(docs.count(), similarity)
+
+    def prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            hashes, rows = [], []
+            for text in pdf["text"]:
+                words = split_words(text)
+                hashes.append(_words_hash(words))
+                rows.append(wide_fingerprint(words, width, plan.words).view(np.int64) if words else None)
+            yield pd.DataFrame({"id": pdf["id"].array, "h": hashes, "fp": rows})
+
+    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    own = scratch.write(own.mapInPandas(prints, "id long, h long, fp array<long>"), "prints")
+    nodes = scratch.write(own.groupBy("h").agg(F.min("id").alias("low"), F.first("fp").alias("fp")), "nodes")
+
+    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for lo in range(0, len(pdf), 2048):
+                part = pdf.iloc[lo : lo + 2048]
+                x = np.stack(part["fp"].to_numpy())
+                v = _block_values(x.view(np.uint64), plan)
+                yield pd.DataFrame({"k": np.tile(np.arange(plan.blocks), len(part)), "v": v.ravel(), "h": np.repeat(part["h"].to_numpy(), plan.blocks), "c": np.repeat(x[:, 0], plan.blocks)})
+
+    rows = scratch.write(nodes.where("fp IS NOT NULL").select("h", "fp").mapInPandas(blocks, "k int, v long, h long, c long"), "blocks")
+    sizes = scratch.write(rows.groupBy("k", "v").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("h", "k").alias("o"), "h", "c")).alias("first")).where("n > 1"), "sizes")
+    close = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= plan.first_radius
+
+    def pairs(left: DataFrame, right: DataFrame, more=None) -> DataFrame:
+        """Distinct (src, dst) of rows of either side in one block whose first bits are close."""
+        a, b = (x.select("k", "v", *[F.col(c).alias(f"{c}_{i}") for c in x.columns if c not in ("k", "v")]) for i, x in ((0, left), (1, right)))
+        met = a.join(b, ["k", "v"]).where(close(F.col("c_0"), F.col("c_1")) & (F.col("h_0") != F.col("h_1")) & (more if more is not None else F.col("h_0") < F.col("h_1")))
+        return met.select(F.least("h_0", "h_1").alias("src"), F.greatest("h_0", "h_1").alias("dst")).distinct()
+
+    def measured(found: DataFrame, name: str) -> DataFrame:
+        """Pairs that may be similar, with the distance of their fingerprints."""
+        fp = nodes.select("h", "fp")
+        both = found.join(fp.select(F.col("h").alias("src"), F.col("fp").alias("f0")), "src").join(fp.select(F.col("h").alias("dst"), F.col("fp").alias("f1")), "dst")
+        apart = F.aggregate(F.zip_with("f0", "f1", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+        return scratch.write(both.select("src", "dst", apart.alias("apart")).where(F.col("apart") <= plan.radius(1)), name)
+
+    def settled(found: DataFrame, edges: DataFrame | None) -> DataFrame:
+        """``edges`` and all links among ``found``, as far as they join what the sure ones do not."""
+        sure = found.where(F.col("apart") <= plan.radius(-1)).select("src", "dst")
+        sure = sure if edges is None else sure.unionByName(edges)
+        comps = components(sure)
+        open_ = found.where(F.col("apart") > plan.radius(-1)).select("src", "dst")
+        for end in ("src", "dst"):
+            open_ = open_.join(comps.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}")), end, "left")
+        open_ = open_.where(F.coalesce("c_src", "src") != F.coalesce("c_dst", "dst")).select("src", "dst")
+        return scratch.write(sure.unionByName(_similar_pairs(docs.select(F.col(f"`{text_col}`").alias("text")), scratch.write(open_, "open"), width, similarity)), "edges")
+
+    few = rows.join(sizes.where(F.col("n") <= pairs_up_to).select("k", "v"), ["k", "v"])
+    found, hot = pairs(few, few), sizes.where(F.col("n") > pairs_up_to)
+    some_hot = not hot.isEmpty()
+    if some_hot:
+        many = scratch.write(rows.join(hot.select("k", "v"), ["k", "v"]), "hot")
+        leaders = hot.select("k", "v", F.col("first.h").alias("h"), F.col("first.c").alias("c"))
+        found = found.unionByName(pairs(many, leaders, F.lit(True))).distinct()
+    edges = settled(measured(found, "pairs"), None)
+    comps = components(edges)
+    if some_hot:
+        named = scratch.write(many.join(comps.withColumnRenamed("node", "h"), "h", "left").withColumn("comp", F.coalesce("component", "h")).select("k", "v", "h", "c", "comp"), "named")
+        largest = named.groupBy("k", "v", "comp").count().groupBy("k", "v").agg(F.max_by("comp", F.struct("count", "comp")).alias("most"))
+        strays = named.join(largest, ["k", "v"]).where("comp <> most").drop("most")
+        comps = components(settled(measured(pairs(strays, named, F.col("comp_0") != F.col("comp_1")), "strays"), edges))
+    labelled = nodes.select("h", "low").join(comps.withColumnRenamed("node", "h"), "h", "left").withColumn("component", F.coalesce("component", "h"))
+    lows = labelled.groupBy("component").agg(F.min("low").alias("component_id"))
+    classes = labelled.join(lows, "component").select("h", "component_id")
+    return own.select("id", "h").join(classes, "h").select(F.col("id").alias(id_col), "h", "component_id")
+
+
+def split_words(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def _words_hash(words: list[bytes]) -> int:
+    h = xxhash.xxh64_intdigest(b" ".join(words))
+    return h - (1 << 64) if h >> 63 else h
+
+
+def jaccard(a: list[bytes], b: list[bytes], width: int) -> float:
+    """Share of the shingles of either text that both have; a text of fewer words is one shingle, none of none is equal to none."""
+    x, y = ({tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set() for w in (a, b))
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def _similar_pairs(texts: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Those of (src, dst) whose texts, found by the hash of their words, are similar."""
+
+    @F.pandas_udf("long")
+    def words_hash(column: pd.Series) -> pd.Series:
+        return pd.Series([_words_hash(split_words(t)) for t in column], dtype="int64")
+
+    def similar_ones(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.loc[[jaccard(split_words(a), split_words(b), width) >= similarity for a, b in zip(pdf["a"], pdf["b"])], ["src", "dst"]]
+
+    need = pairs.select(F.col("src").alias("h")).union(pairs.select("dst")).distinct()
+    if pairs.isEmpty():
+        return pairs
+    own = texts.select(words_hash("text").alias("h"), "text").join(need, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text"))
+    both = pairs.join(own.select(F.col("h").alias("src"), F.col("text").alias("a")), "src").join(own.select(F.col("h").alias("dst"), F.col("text").alias("b")), "dst")
+    return both.mapInPandas(similar_ones, "src long, dst long")
