@@ -90,13 +90,18 @@ def stretch(shingles: int, similarity: float) -> int:
     return -(-(shingles - undone) // (undone // 4 + 1))
 
 
-def window_size(shingles: int, settings: Settings) -> int:
-    """Shingles of the windows fingerprinted for an item; of near sizes the smaller, so that few sizes occur."""
-    most = max(1, min(255, stretch(shingles, settings.similarity) - settings.stride + 1))
-    size = 1
+def window_size(shingles: int, settings: Settings) -> tuple[int, int]:
+    """(shingles, stride) of the windows fingerprinted for an item; of near sizes the smaller, so that few sizes occur.
+
+    A stretch of r shingles holds a window of r - stride + 1 that begins on the stride;
+    for the shortest stretches the stride is the shorter.
+    """
+    whole = stretch(shingles, settings.similarity)
+    stride = min(settings.stride, whole)
+    most, size = min(255, whole - stride + 1), 1
     while max(size + 1, size * 5 // 4) <= most:
         size = max(size + 1, size * 5 // 4)
-    return size
+    return size, stride
 
 
 class MultiIndex:
@@ -150,16 +155,16 @@ class Items:
             n = len(words) - settings.width + 1
             if n < 1:
                 continue
-            size, k = window_size(n, settings), len(self.ids)
+            (size, stride), k = window_size(n, settings), len(self.ids)
             self.ids.append(item)
             self.shingles.append(Counter(tuple(words[i : i + settings.width]) for i in range(n)))
             running = running_bits(shingle_hashes(np.array([hashes[w] for w in words], np.uint64), settings.width))
             at = np.arange(n - size + 1)
-            by_size[size].append((np.full(len(at), k), at, simhashes(running, at, size)))
+            by_size[size, stride].append((np.full(len(at), k), at, simhashes(running, at, size)))
         self.sizes = []
-        for size, parts in sorted(by_size.items()):
+        for (size, stride), parts in sorted(by_size.items()):
             item, at, prints = (np.concatenate(x) for x in zip(*parts))
-            self.sizes.append((size, item, at, MultiIndex(prints, settings.radius)))
+            self.sizes.append((size, stride, item, at, MultiIndex(prints, settings.radius)))
         self.counts = [sum(c.values()) for c in self.shingles]
 
     def verify(self, words: list[bytes], item: int, at: int) -> tuple[float, int]:
@@ -184,7 +189,7 @@ class Items:
 
     def search(self, texts: list[list[bytes]], hashes: WordHashes) -> list[tuple[int, int, float, int]]:
         """(number of the text, number of the item, similarity, first word) of the items that texts hold."""
-        width, stride, hits = self.settings.width, self.settings.stride, []
+        width, hits = self.settings.width, []
         # shingles of all texts in one row; owner and place tell whose they are
         rows = [shingle_hashes(np.array([hashes[w] for w in words], np.uint64), width) for words in texts]
         lengths = np.array([len(r) for r in rows])
@@ -196,10 +201,11 @@ class Items:
             start = np.arange(lo, min(lo + BLOCK, len(whole)))
             owner = np.searchsorted(ends, start, side="right")
             place = start - begins[owner]
-            grid = place % stride == 0
-            start, owner, place = start[grid], owner[grid], place[grid]
-            for size, item, at, index in self.sizes:
-                fits = np.flatnonzero(place + size <= lengths[owner])
+            room = lengths[owner] - place
+            grids = {stride: np.flatnonzero(place % stride == 0) for _, stride, *_ in self.sizes}
+            for size, stride, item, at, index in self.sizes:
+                fits = grids[stride]
+                fits = fits[room[fits] >= size]
                 q, v = index.near(simhashes(running, start[fits] - lo, size))
                 for t, k, begin in zip(owner[fits[q]].tolist(), item[v].tolist(), (place[fits[q]] - at[v]).tolist()):
                     seen.add((t, k, begin))
