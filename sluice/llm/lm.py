@@ -220,7 +220,7 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int) -> np.ndarray:
             g[a] -= r
             g[:, a] -= c
             g[a, a] -= self_n
-            left, right = g.sum(1), g.sum(0)
+            left, right = g.sum(1) + c, g.sum(0) + r  # what stands before w, and behind it, counts there whatever its class
             down, across = _xlogx(g + r) - _xlogx(g), _xlogx(g + c[:, None]) - _xlogx(g)
             own = np.diag(g)
             gain = down.sum(1) - np.diag(down) + across.sum(0) - np.diag(across) + _xlogx(own + r + c + self_n) - _xlogx(own)
