@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import ctypes
 import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,27 @@ def shared_dir(spark: SparkSession) -> str:
     return have.get()
 
 
+def release() -> None:
+    """Hand memory that a worker no longer uses back to the system, at the end of a task that used much.
+
+    Workers live on for other stages' tasks, and Arrow's and C's allocators would keep it.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def text_batches(spark: SparkSession, rows: int = 2048) -> None:
+    """Let Arrow batches hold fewer rows, unless the session has a number of its own.
+
+    Texts may be long: ten thousand to a batch, Spark's number, can be gigabytes in a worker.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(rows))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint in the shared folder.
 
@@ -34,12 +58,14 @@ class Scratch:
     """Written tables in the shared folder, for intermediates that are read more than once.
 
     Parquet there takes far less room than a checkpoint of rows. ``drop`` removes
-    a table that no later step reads.
+    a table that no later step reads; what is left goes when the driver ends, since
+    results are computed later than the frames that describe them are made.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = os.path.join(shared_dir(spark), f"scratch-{uuid.uuid4().hex}")
+        atexit.register(_remove, spark, self.root)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
@@ -47,10 +73,14 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, df: DataFrame) -> None:
-        jvm = self.spark._jvm
-        for f in {os.path.dirname(f) for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(f)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            _remove(self.spark, folder)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    if spark.sparkContext._jsc is not None and spark.sparkContext._jsc.sc().isStopped() is False:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:

@@ -26,8 +26,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.common import text_batches
+
 #: Shingles fingerprinted at once; words whose hashes a worker keeps; bytes of items sent to workers at once.
-BLOCK, WORDS_KEPT, ITEM_BYTES = 1 << 14, 1_000_000, 4 << 20
+BLOCK, WORDS_KEPT, ITEM_BYTES = 1 << 14, 400_000, 4 << 20
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -255,6 +257,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
     """
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     schema = f"`{id_col}` long, `{item_col}` long, similarity double, first_word long"
+    text_batches(docs.sparkSession)
     found = None
     for items in item_blocks(benchmark, settings, item_col, text_col):
         sent = docs.sparkSession.sparkContext.broadcast(items)
@@ -275,6 +278,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
 
 def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), text_col: str = "text", benchmark_text: str = "text", item_col: str = "item_id") -> DataFrame:
     """``docs`` without the rows whose text holds an item; see ``contaminated``. No shuffle."""
+    text_batches(docs.sparkSession)
     for items in item_blocks(benchmark, settings, item_col, benchmark_text):
         docs = docs.where(_free(docs.sparkSession.sparkContext.broadcast(items))(F.col(f"`{text_col}`")))
     return docs

@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.common import text_batches
+
 # fixed values of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -338,6 +340,7 @@ def extract_text(pages: DataFrame, model: Model, html_col: str = "html", name: s
     result. Pages stay in their own partitions.
     """
     sent = pages.sparkSession.sparkContext.broadcast(model)
+    text_batches(pages.sparkSession)
 
     @F.pandas_udf("string")
     def main_text(column: pd.Series) -> pd.Series:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch
+from sluice.llm.common import Scratch, text_batches
 
 #: Bytes of a text split into words at once, and distinct words a task holds before it hands them on.
 BLOCK, HELD = 1 << 22, 400_000
@@ -266,6 +266,7 @@ def score(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: st
     zero. Words are told apart by 64-bit hashes.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
+    text_batches(spark)
     name = lambda c: F.col(f"`{c}`")
     keep = keep or {}
     learn = docs.where(F.coalesce(train, F.lit(False))).select(name(text_col).alias("text"))

@@ -14,15 +14,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct words whose ids a worker process keeps; the store is emptied when full.
-WORDS_KEPT = 1_000_000
+from sluice.llm.common import release, text_batches
+
+#: Distinct words, and pieces, whose ids a worker process keeps; once full, words of the texts at hand stay.
+WORDS_KEPT = 450_000
 #: Characters of a text that are split into words at once.
 BLOCK = 1 << 20
 #: What a tokenizer of words takes for white space; str.split() would also split at U+001C to U+001F.
 _SPACE = re.compile(r"(?:(?![\x1c-\x1f])\s)+")
 _UNLIKE = ("\x1c", "\x1d", "\x1e", "\x1f")
-#: Words of an ASCII text as the tokenizer's own pattern cuts them, once lower-cased.
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\x0b\x0ca-z0-9]+")
+#: Words of ASCII and Latin-1 letters, which are composed already and lower-cased one by one ...
+_PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+").fullmatch
+#: ... as the tokenizer's own pattern cuts them, once lower-cased.
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
 
 
 def split_words(text: str) -> list[str]:
@@ -33,7 +37,7 @@ class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, by the lower-casing word BPE.
 
     That tokenizer never joins over white space, so a text's ids are those of its
-    words in order, and each distinct word is encoded once and kept. An ASCII word is
+    words in order, and each distinct word is encoded once and kept. A plain word is
     further made of pieces (runs of letters, digits, runs of signs), which many words
     share. Fresh words and pieces are encoded many at a time in one line; each id goes
     to the word in which its span begins.
@@ -60,18 +64,22 @@ class WordEncoder:
         return done
 
     def learn(self, fresh: set[str]) -> None:
-        plain = {w: _PIECE.findall(w.lower()) for w in fresh if w.isascii() and "<|" not in w}
-        pieces = self.pieces
-        pieces.update(self._encode_line([x for x in {x for p in plain.values() for x in p} if x not in pieces]))
-        for w, p in plain.items():
-            self.words[w] = pieces[p[0]] if len(p) == 1 else b"".join([pieces[x] for x in p])
-        self.words.update(self._encode_line([w for w in fresh if w not in plain]))
+        plain, other, cut, pieces = [], [], [], self.pieces
+        for w in fresh:
+            if _PLAIN(w) and "<|" not in w:
+                plain.append(w)
+                cut.append(_PIECE(w.lower()))
+            else:
+                other.append(w)
+        pieces.update(self._encode_line(list(set().union(*cut) - pieces.keys())))
+        self.words.update(zip(plain, [pieces[p[0]] if len(p) == 1 else b"".join([pieces[x] for x in p]) for p in cut]))
+        self.words.update(self._encode_line(other))
 
     def _join(self, lists: list[list[str]]) -> list[bytes]:
         all_words = set().union(*lists)
         fresh = all_words - self.words.keys()
-        if len(self.words) + len(fresh) > WORDS_KEPT:
-            self.words, fresh = {"": b""}, all_words
+        if len(self.words) + len(fresh) > WORDS_KEPT:  # common words stand in the texts at hand too
+            self.words = {"": b""} | {w: self.words[w] for w in all_words - fresh}
         if len(self.pieces) > WORDS_KEPT:
             self.pieces = {}
         self.learn(fresh)
@@ -116,6 +124,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
             yield from encoded(batches, encode)
         finally:
             gc.enable()
+            release()
 
     def encoded(batches, encode):
         for pdf in batches:
@@ -130,6 +139,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
                 yield pd.DataFrame({"id": part["id"].array, "doc_tokens": tokens, "pieces": pieces})
 
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    text_batches(docs.sparkSession)
     return own.mapInPandas(run, f"id long, doc_tokens long, pieces array<{'binary' if ids else 'long'}>")
 
 

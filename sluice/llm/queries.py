@@ -76,7 +76,7 @@ FROM s GROUP BY conv_id
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.digests(substring.dedup_substrings(table(spark, sf_dir, "documents")))
+    return substring.dedup_substrings(table(spark, sf_dir, "documents"), form=substring.DIGESTS)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

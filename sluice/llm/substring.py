@@ -25,10 +25,10 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch
+from sluice.llm.common import Scratch, text_batches
 
 #: Bytes hashed at once; bytes whose records a task holds together; rows looked at together.
-BLOCK, FLUSH, ROWS = 1 << 20, 1 << 25, 1 << 18
+BLOCK, FLUSH, ROWS = 1 << 20, 3 << 22, 1 << 16
 #: Contexts of one anchor string beyond which their windows go to other tasks each by itself.
 HOT = 4096
 GRAM = 32
@@ -111,7 +111,8 @@ def records(data: bytes, starts: np.ndarray, ends: np.ndarray, length: int) -> d
     l, r = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)  # noqa: E741
     l[left] = (mix(p.hash(a[left] - half, half + GRAM)) & np.uint64(0xFFFF)).astype(np.int64) | 1
     r[right] = (mix(p.hash(a[right], length - half + 1)) & np.uint64(0xFFFF)).astype(np.int64) | 1
-    return {"doc": doc, "lo": lo - starts[doc], "n": n, "d": d, "l": l, "r": r, "h": h, "c": c}
+    small = {"doc": doc, "lo": lo - starts[doc], "n": n, "d": d, "l": l, "r": r}
+    return {k: v.astype(np.int32) for k, v in small.items()} | {"h": h, "c": c}
 
 
 def merged(key: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,17 +141,18 @@ def find_records(length: int):
     """Records of texts; of equal ones in a task only the first goes on, the others' windows are settled."""
 
     def flush(parts: list[dict]) -> Iterator[pd.DataFrame]:
-        x = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
+        x = {k: np.concatenate([p.pop(k) for p in parts]) for k in list(parts[0])}
         order = np.lexsort((x["lo"], x["key"], x["c"], x["h"]))
-        x = {k: v[order] for k, v in x.items()}
+        x = {k: x.pop(k)[order] for k in list(x)}
         again = np.concatenate(([False], (x["h"][1:] == x["h"][:-1]) & (x["c"][1:] == x["c"][:-1]))) if len(order) else np.empty(0, bool)
         gone = _settled(x["key"][again], x["lo"][again], x["lo"][again] + x["n"][again] - 1, settled=True, h=0, c=0, l=0, r=0, d=0)
         gone["h"] = mix(gone["key"].to_numpy().astype(np.uint64)).view(np.int64)  # spread
         kept = {k: v[~again] for k, v in x.items()}
         out = pd.DataFrame({"settled": np.zeros(len(kept["h"]), bool), "h": kept["h"].view(np.int64), "c": kept["c"].view(np.int64)} | {k: kept[k] for k in ("l", "r", "key", "lo", "n", "d")})
         names = list(out.columns)
-        yield gone[names]
-        yield out
+        for frame in (gone, out):
+            for i in range(0, len(frame), ROWS):
+                yield frame.iloc[i : i + ROWS][names]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts, held, block, size = [], 0, [], 0
@@ -161,7 +163,7 @@ def find_records(length: int):
             found = records(b"".join(x for _, _, x in block), ends - sizes, ends, length)
             doc = found.pop("doc")
             found["key"] = np.array([k for k, _, _ in block], np.int64)[doc]
-            found["lo"] = found["lo"] + np.array([a for _, a, _ in block], np.int64)[doc]
+            found["lo"] += np.array([a for _, a, _ in block], np.int32)[doc]
             return found
 
         for pdf in batches:
@@ -361,7 +363,7 @@ def match_contexts(length: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         carry, last = None, None
-        for pdf in _gathered(batches, ROWS // 16):
+        for pdf in _gathered(batches, ROWS // 4):
             windows = pdf["context"].isna().to_numpy()
             if windows.any():
                 x = pdf[windows]
@@ -382,6 +384,20 @@ def match_contexts(length: int):
     return run
 
 
+#: What is known of a context that is asked for; a text's come as one array each, which takes far less room than records.
+ASKED = ("h", "lo", "n", "d", "hot")
+
+
+def gathered(df: DataFrame, names: tuple[str, ...], prefix: str) -> DataFrame:
+    """(key, <prefix><name> ...): each key's values as arrays in one order."""
+    by = df.groupBy("key").agg(F.collect_list(F.struct(*names)).alias("x"))
+    return by.select("key", *[F.transform("x", _field(c)).alias(f"{prefix}{c}") for c in names])
+
+
+def _field(name: str):
+    return lambda r: r[name]
+
+
 def fetch_contexts(length: int):
     """The contexts that were asked for; a hot anchor's windows instead by two hashes, of equal ones in a task the first."""
 
@@ -399,13 +415,12 @@ def fetch_contexts(length: int):
         held, count = [], 0
         for pdf in batches:
             rows = []
-            for key, text, asked in zip(pdf["key"].tolist(), pdf["text"], pdf["asked"]):
+            for key, text, *asked in zip(pdf["key"].tolist(), pdf["text"], *[pdf[f"a_{c}"] for c in ASKED]):
                 data = (text or "").encode("utf-8", "surrogatepass")
-                for a in asked:
-                    lo, n = a["lo"], a["n"]
+                for h, lo, n, d, hot in zip(*[a.tolist() for a in asked]):
                     context = data[lo : lo + n - 1 + length]
-                    if not a["hot"]:
-                        rows.append((False, a["h"], 0, key, lo, n, a["d"], context))
+                    if not hot:
+                        rows.append((False, h, 0, key, lo, n, d, context))
                         continue
                     p, at = Prefixes(np.frombuffer(context, np.uint8)), np.arange(n)
                     x = p.hash(at, length)
@@ -430,36 +445,57 @@ class Settings:
 
 
 def repeated_ranges(docs: DataFrame, scratch: Scratch, length: int) -> DataFrame:
-    """(key, gone): of each text with windows that start earlier, where those windows start, as ranges (lo, n).
+    """(key, gone_lo, gone_n): of each text with windows that start earlier, the first and the number of each run of them.
 
     ``docs`` has a unique non-null long ``key``, in whose order texts stand, and ``text``.
     """
     first = docs.mapInPandas(find_records(length), COLUMNS)
     ordered = first.repartition("h").sortWithinPartitions("h", "c", "key", "lo")
     known = scratch.write(ordered.mapInPandas(match_records, "settled boolean, key long, lo long, n long, h long, d int, hot boolean"), "records")
-    asked = known.where("NOT settled").groupBy("key").agg(F.collect_list(F.struct("h", "lo", "n", "d", "hot")).alias("asked"))
+    asked = gathered(known.where("NOT settled"), ASKED, "a_")
     fetched = scratch.write(docs.join(asked, "key").mapInPandas(fetch_contexts(length), "settled boolean, h long, c long, key long, lo long, n long, d int, context binary"), "contexts")
     meeting = fetched.where("NOT settled").repartition("h").sortWithinPartitions("h", "c", "key", "lo")
     sorted_out = meeting.mapInPandas(match_contexts(length), "key long, lo long, n long")
     every = known.where("settled").select("key", "lo", "n").unionByName(fetched.where("settled").select("key", "lo", "n")).unionByName(sorted_out)
-    return every.groupBy("key").agg(F.collect_list(F.struct("lo", "n")).alias("gone"))
+    return gathered(every, ("lo", "n"), "gone_")
+
+
+def removed_spans(lo: np.ndarray, n: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the byte ranges covered by runs of windows, joined up and in order."""
+    key = np.zeros(len(lo), np.int64)
+    _, a, b = merged(key, lo.astype(np.int64), lo + n + length - 2)
+    return a, b + 1
+
+
+def kept_bytes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    parts, at = [], 0
+    for a, b in zip(starts.tolist(), ends.tolist()):
+        parts.append(data[at:a])
+        at = b
+    return b"".join([*parts, data[at:]])
+
+
+def _whole(ids, data: list[bytes], spans: list) -> pd.DataFrame:
+    listed = [[{"start": x, "end": y} for x, y in zip(a.tolist(), b.tolist())] for a, b in spans]
+    return pd.DataFrame({"id": ids, "data": pd.Series(data, dtype=object).array, "spans": pd.Series(listed, dtype=object).array})
 
 
-def removed_spans(gone, length: int) -> list[tuple[int, int]]:
-    """Byte ranges [a, b) covered by windows that start in the given ranges, joined up and in order."""
-    out: list[list[int]] = []
-    for lo, n in sorted((x["lo"], x["n"]) for x in gone):
-        end = lo + n - 1 + length
-        if out and lo <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
-        else:
-            out.append([lo, end])
-    return [(a, b) for a, b in out]
+def _digests(ids, data: list[bytes], spans: list) -> pd.DataFrame:
+    kept = [kept_bytes(d, a, b) for d, (a, b) in zip(data, spans)]
+    n = np.array([len(d) for d in data], np.int64)
+    return pd.DataFrame({"id": ids, "n_bytes": n, "n_removed": n - [len(k) for k in kept], "n_spans": [len(a) for a, _ in spans], "kept_sha256": [hashlib.sha256(k).hexdigest() for k in kept]})
 
 
-def dedup_substrings(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+#: Forms of the result: what makes them of ids, bytes and spans, and their columns.
+WHOLE = (_whole, "id long, data binary, spans array<struct<start: long, end: long>>")
+DIGESTS = (_digests, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def dedup_substrings(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", form: tuple = WHOLE) -> DataFrame:
     """One row per document: (id, data, spans): its UTF-8 bytes, and the byte ranges [start, end) that start earlier elsewhere.
 
+    With ``form`` DIGESTS: (id, n_bytes, n_removed, n_spans, kept_sha256) of the same.
+
     A byte is covered if a string of ``settings.length`` bytes around it also starts
     earlier: in a smaller id, or further up in the same text; overlaps count, and
     matches never cross texts. A null text is the empty one. Where ids repeat or are
@@ -468,6 +504,7 @@ def dedup_substrings(docs: DataFrame, settings: Settings = Settings(), id_col: s
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
+    text_batches(spark)
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     counts = own.agg(F.count("*"), F.count("id")).first()
     repeated = not own.where("id IS NOT NULL").groupBy("id").count().where("count > 1").isEmpty()
@@ -482,33 +519,15 @@ def dedup_substrings(docs: DataFrame, settings: Settings = Settings(), id_col: s
         texts = keyed.select("key", "text")
     gone = repeated_ranges(texts, scratch, settings.length)
 
+    make, schema = form
+    length, none = settings.length, (np.empty(0, np.int64), np.empty(0, np.int64))
+
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for lo in range(0, len(pdf), 1024):
-                part = pdf.iloc[lo : lo + 1024]
-                spans = [[{"start": a, "end": b} for a, b in removed_spans(g, settings.length)] if g is not None else [] for g in part["gone"]]
-                data = [t.encode("utf-8", "surrogatepass") for t in part["text"]]
-                yield pd.DataFrame({"id": part["id"].array, "data": pd.Series(data, dtype=object).array, "spans": pd.Series(spans, dtype=object).array})
+            for lo in range(0, len(pdf), 512):
+                part = pdf.iloc[lo : lo + 512]
+                spans = [none if a is None else removed_spans(a, n, length) for a, n in zip(part["gone_lo"], part["gone_n"])]
+                yield make(part["id"].array, [t.encode("utf-8", "surrogatepass") for t in part["text"]], spans)
 
-    out = keyed.join(gone, "key", "left").select("id", "text", "gone").mapInPandas(finish, "id long, data binary, spans array<struct<start: long, end: long>>")
+    out = keyed.join(gone, "key", "left").select("id", "text", "gone_lo", "gone_n").mapInPandas(finish, schema)
     return out.withColumnRenamed("id", id_col)
-
-
-def kept_bytes(data: bytes, spans) -> bytes:
-    parts, at = [], 0
-    for s in spans:
-        parts.append(data[at : s["start"]])
-        at = s["end"]
-    return b"".join([*parts, data[at:]])
-
-
-def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256) of the operator's rows."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            kept = [kept_bytes(d, s) for d, s in zip(pdf["data"], pdf["spans"])]
-            n = [len(d) for d in pdf["data"]]
-            yield pd.DataFrame({id_col: pdf[id_col].array, "n_bytes": n, "n_removed": [a - len(k) for a, k in zip(n, kept)], "n_spans": [len(s) for s in pdf["spans"]], "kept_sha256": [hashlib.sha256(k).hexdigest() for k in kept]})
-
-    return found.mapInPandas(run, f"`{id_col}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -7,6 +7,7 @@ term and a factor vector per term whose products are the weights of pairs.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,26 +16,27 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch
+from sluice.llm.common import Scratch, release, text_batches
 
 #: log2 of the number of buckets.
 BITS = 22
-#: Bytes hashed at once.
-BLOCK = 1 << 20
+#: Bytes hashed at once; texts whose terms are held at once.
+BLOCK, TEXTS = 1 << 18, 32
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x100000001B3
 #: Bytes of words: ASCII letters and digits, and all bytes of other characters.
 _IN_WORD = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64."""
-    x = np.full(n, base, np.uint64)
-    x[0] = 1
-    return np.cumprod(x, dtype=np.uint64)
-
-
-_POWERS, _INVERSE = powers(_BASE, 2 * BLOCK + 64), powers(pow(_BASE, -1, 1 << 64), 2 * BLOCK + 64)
+@functools.cache
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2 ** 64, as many as bytes are hashed at once; made where they are used."""
+    tables = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        x = np.full(2 * BLOCK + 64, base, np.uint64)
+        x[0] = 1
+        tables.append(np.cumprod(x, dtype=np.uint64))
+    return tuple(tables)
 
 
 def _bucket(values: np.ndarray, kind: int) -> np.ndarray:
@@ -51,10 +53,10 @@ def _terms(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     word = _IN_WORD[b]
     edge = np.flatnonzero(np.diff(np.concatenate(([0], word.view(np.int8), [0]))))
     starts, ends = edge[::2], edge[1::2]
-    x = b.astype(np.uint64)
+    x, (up, down) = b.astype(np.uint64), powers()
     with np.errstate(over="ignore"):
-        prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum((x + np.uint64(1)) * _INVERSE[: len(x)], dtype=np.uint64)))
-        yield starts, _bucket((prefix[ends] - prefix[starts]) * _POWERS[starts], 1)
+        prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum((x + np.uint64(1)) * down[: len(x)], dtype=np.uint64)))
+        yield starts, _bucket((prefix[ends] - prefix[starts]) * up[starts], 1)
         outside = np.concatenate(([0], np.cumsum(~word)))
         v = x[:-3] << np.uint64(24) | x[1:-2] << np.uint64(16) | x[2:-1] << np.uint64(8) | x[3:] if len(x) > 3 else x[:0]
         for n in (4, 5, 6):
@@ -102,7 +104,7 @@ def term_rows(texts: list[str | None], slots: np.ndarray | None = None) -> tuple
             if slots is not None:
                 at, value = at[value >= 0], value[value >= 0]
             owner = owners[np.searchsorted(starts, at, side="right") - 1].astype(np.int64)
-            keys.append(np.unique(owner << BITS | value))
+            keys.append(np.unique(owner << BITS | value.astype(np.int64)))
     keys = np.unique(np.concatenate(keys)) if keys else np.empty(0, np.int64)
     return keys >> BITS, keys & ((1 << BITS) - 1)
 
@@ -134,7 +136,7 @@ class Settings:
     """``sample``: labelled texts of each label to learn from at most, chosen by a hash of the id."""
 
     sample: int = 4000
-    terms: int = 8192
+    terms: int = 8192  # slots are 16-bit
     factors: int = 8
     rounds: int = 50
     rate: float = 0.05
@@ -191,6 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
     any label).
     """
     scratch = Scratch(docs.sparkSession)
+    text_batches(docs.sparkSession)
     name = lambda c: F.col(f"`{c}`")
     own = labels.select(name(id_col).alias("id"), name(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)")
     share = dict(own.groupBy("label").count().collect())
@@ -204,21 +207,23 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
         for pdf in batches:
             for label in (0, 1):
                 group = pdf["text"][pdf["label"] == label]
-                for lo in range(0, len(group), 256):
-                    _, bucket = term_rows(list(group.iloc[lo : lo + 256]))
-                    seen[label] += np.bincount(bucket, minlength=1 << BITS).astype(np.int32)
+                for lo in range(0, len(group), TEXTS):
+                    _, bucket = term_rows(list(group.iloc[lo : lo + TEXTS]))
+                    np.add.at(seen[label], bucket, 1)
         at = np.flatnonzero(seen[0] + seen[1] > 1)
         yield pd.DataFrame({"bucket": at.astype(np.int32), "n0": seen[0][at], "n1": seen[1][at]})
+        del seen
+        release()
 
     n0, n1 = (texts.where(F.col("label") == k).count() for k in (0, 1))
-    empty = Machine(np.full(1 << BITS, -1, np.int32), float(prior), np.zeros(settings.terms), np.zeros((settings.terms, settings.factors)))
+    empty = Machine(np.full(1 << BITS, -1, np.int16), float(prior), np.zeros(settings.terms), np.zeros((settings.terms, settings.factors)))
     if not n0 or not n1:
         return empty
     by = texts.mapInPandas(stats, "bucket int, n0 long, n1 long").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     a, b, n = F.col("n1"), F.col("n0"), float(n0 + n1)
     chi2 = n * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2)) / ((a + b) * (n - a - b + 1e-9) * float(n0) * float(n1))
     best = [r[0] for r in by.where(a + b >= 3).select("bucket", chi2.alias("chi2")).where(F.col("chi2") >= settings.least_chi2).orderBy(F.desc("chi2"), "bucket").limit(settings.terms).collect()]
-    slots = np.full(1 << BITS, -1, np.int32)
+    slots = np.full(1 << BITS, -1, np.int16)
     slots[best] = np.arange(len(best))
     sent = docs.sparkSession.sparkContext.broadcast(slots)
 
@@ -245,6 +250,7 @@ def score(docs: DataFrame, machine: Machine, text_col: str = "text", name: str =
     an empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(machine)
+    text_batches(docs.sparkSession)
 
     @F.pandas_udf("double")
     def toxic(texts: pd.Series) -> pd.Series:
