@@ -51,29 +51,38 @@ class WordEncoder:
         self.words: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
 
-    def _encode_line(self, words: list[str]) -> dict[str, bytes]:
-        done: dict[str, bytes] = {}
+    def _encode_line(self, words: list[str], whole: bool) -> list[bytes]:
+        """Ids of each of the words; ``whole``: none is cut by the tokenizer's pattern, so its own numbering serves."""
+        done: list[bytes] = []
         for i in range(0, len(words), 4096):
             part = words[i : i + 4096]
             line = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             ids = np.array(line.ids, "<u4")
-            begins = np.fromiter((a for a, _ in line.offsets), np.int64, len(ids))
-            starts = np.cumsum([0] + [len(w) + 1 for w in part])
-            data, cuts = ids.tobytes(), (4 * np.searchsorted(begins, starts)).tolist()
-            done.update((w, data[a:b]) for w, a, b in zip(part, cuts, cuts[1:]))
+            if whole:
+                cuts = np.searchsorted(np.array(line.word_ids), np.arange(len(part) + 1))
+            else:
+                begins = np.fromiter((a for a, _ in line.offsets), np.int64, len(ids))
+                cuts = np.searchsorted(begins, np.cumsum([0] + [len(w) + 1 for w in part]))
+            data, cuts = ids.tobytes(), (4 * cuts).tolist()
+            done += [data[a:b] for a, b in zip(cuts, cuts[1:])]
         return done
 
     def learn(self, fresh: set[str]) -> None:
-        plain, other, cut, pieces = [], [], [], self.pieces
+        alone, plain, other, cut, pieces = [], [], [], [], self.pieces
         for w in fresh:
-            if _PLAIN(w) and "<|" not in w:
+            if w.isascii() and w.isalpha():
+                alone.append(w)
+            elif _PLAIN(w) and "<|" not in w:
                 plain.append(w)
                 cut.append(_PIECE(w.lower()))
             else:
                 other.append(w)
-        pieces.update(self._encode_line(list(set().union(*cut) - pieces.keys())))
+        lower = [w.lower() for w in alone]
+        new = list(set(lower).union(*cut) - pieces.keys())
+        pieces.update(zip(new, self._encode_line(new, True)))
+        self.words.update(zip(alone, map(pieces.__getitem__, lower)))
         self.words.update(zip(plain, [pieces[p[0]] if len(p) == 1 else b"".join([pieces[x] for x in p]) for p in cut]))
-        self.words.update(self._encode_line(other))
+        self.words.update(zip(other, self._encode_line(other, False)))
 
     def _join(self, lists: list[list[str]]) -> list[bytes]:
         all_words = set().union(*lists)
@@ -83,8 +92,8 @@ class WordEncoder:
         if len(self.pieces) > WORDS_KEPT:
             self.pieces = {}
         self.learn(fresh)
-        kept = self.words
-        return [b"".join([kept[w] for w in words]) for words in lists]
+        kept = self.words.__getitem__
+        return [b"".join(map(kept, words)) for words in lists]
 
     def _long(self, text: str) -> bytes:
         out, at = [], 0
