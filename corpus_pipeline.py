@@ -49,7 +49,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences; see ``sluice.llm.packing``."""
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), payload="crc32")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), payload="crc32", keep_words=False)
 
 
 STAGES = [("toxicity", toxic), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontamination", decontaminate), ("packing", pack)]

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import text_batches
+from sluice.llm.common import release, text_batches
 
 #: Shingles fingerprinted at once; words whose hashes a worker keeps; bytes of items sent to workers at once.
 BLOCK, WORDS_KEPT, ITEM_BYTES = 1 << 14, 400_000, 4 << 20
@@ -286,10 +286,14 @@ def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
 
 def _free(sent):
     @F.pandas_udf("boolean")
-    def free(texts: pd.Series) -> pd.Series:
-        out, hashes = np.ones(len(texts), bool), WordHashes()
-        for first, hits in _searched(texts, sent.value, hashes):
-            out[[first + h[0] for h in hits]] = False
-        return pd.Series(out)
+    def free(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hashes = WordHashes()
+        for texts in batches:
+            out = np.ones(len(texts), bool)
+            for first, hits in _searched(texts, sent.value, hashes):
+                out[[first + h[0] for h in hits]] = False
+            yield pd.Series(out)
+        hashes.clear()
+        release()
 
     return free

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch, components, cut
+from sluice.llm.common import Scratch, components, cut, release, text_batches
 
 #: Members of a block up to which its pairs are compared one by one.
 PAIRS_UP_TO = 32
@@ -54,6 +54,7 @@ def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, text_col: str = "text", width: int = 3, seed: int = 42, name: str = "fp") -> DataFrame:
     """``docs`` without its text, with a signed 64-bit column ``name`` for the SimHash."""
+    text_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:
@@ -194,7 +195,7 @@ def _block_values(prints: np.ndarray, plan: Plan) -> np.ndarray:
     return bits.reshape(len(prints), plan.blocks, plan.block) @ (np.int64(1) << np.arange(plan.block, dtype=np.int64))
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, pairs_up_to: int = 64) -> DataFrame:
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, pairs_up_to: int = 8) -> DataFrame:
     """One row per document: (id, h, component_id), component_id the smallest id reachable over similar texts.
 
     Similarity is the Jaccard index of the sets of ``width``-word shingles. Wide
@@ -210,6 +211,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     pair within a component adds nothing, so no link is lost.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
+    text_batches(spark)
     plan = Plan(docs.count(), similarity)
 
     def prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -220,6 +222,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
                 hashes.append(_words_hash(words))
                 rows.append(wide_fingerprint(words, width, plan.words).view(np.int64) if words else None)
             yield pd.DataFrame({"id": pdf["id"].array, "h": hashes, "fp": rows})
+        release()
 
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     own = scratch.write(own.mapInPandas(prints, "id long, h long, fp array<long>"), "prints")
@@ -227,11 +230,12 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for lo in range(0, len(pdf), 2048):
-                part = pdf.iloc[lo : lo + 2048]
+            for lo in range(0, len(pdf), 256):
+                part = pdf.iloc[lo : lo + 256]
                 x = np.stack(part["fp"].to_numpy())
                 v = _block_values(x.view(np.uint64), plan)
                 yield pd.DataFrame({"k": np.tile(np.arange(plan.blocks), len(part)), "v": v.ravel(), "h": np.repeat(part["h"].to_numpy(), plan.blocks), "c": np.repeat(x[:, 0], plan.blocks)})
+        release()
 
     rows = scratch.write(nodes.where("fp IS NOT NULL").select("h", "fp").mapInPandas(blocks, "k int, v long, h long, c long"), "blocks")
     sizes = scratch.write(rows.groupBy("k", "v").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("h", "k").alias("o"), "h", "c")).alias("first")).where("n > 1"), "sizes")

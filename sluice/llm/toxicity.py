@@ -253,8 +253,10 @@ def score(docs: DataFrame, machine: Machine, text_col: str = "text", name: str =
     text_batches(docs.sparkSession)
 
     @F.pandas_udf("double")
-    def toxic(texts: pd.Series) -> pd.Series:
-        parts = [sent.value.score(list(texts.iloc[i : i + 256])) for i in range(0, len(texts), 256)]
-        return pd.Series(np.concatenate(parts) if parts else np.empty(0))
+    def toxic(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            parts = [sent.value.score(list(texts.iloc[i : i + 256])) for i in range(0, len(texts), 256)]
+            yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
+        release()
 
     return docs.withColumn(name, toxic(F.col(f"`{text_col}`")))

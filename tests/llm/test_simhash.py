@@ -67,7 +67,7 @@ def near_corpus():
     return list(enumerate(docs + [None, "", " ", "one two", "ONE  two"]))
 
 
-@pytest.mark.parametrize("pairs_up_to", [2, 64])
+@pytest.mark.parametrize("pairs_up_to", [2, 8, 64])
 def test_similar_texts(spark, near_corpus, clashing, pairs_up_to):
     docs = dict(near_corpus)
     linked = [(a, b) for a in docs for b in docs if a < b and brute.jaccard(docs[a], docs[b]) >= 0.8]
