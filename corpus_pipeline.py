@@ -28,16 +28,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: that with the smallest id.
+    """One document of each group of near duplicates stays: that with the smallest (id, hash of its words), null ids last.
 
     Near duplicates have a similarity of 0.8 or more of their five-word shingles, by
-    wide SimHash fingerprints. Of rows that share an id one stays; a group of rows
-    with a null id keeps one of them.
+    wide SimHash fingerprints. Ids play no part in what a group is: rows that share an
+    id, or have none, go only where their texts are similar.
     """
-    found = simhash.similar(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    first = found.select(key.alias("__key")).distinct()
-    return docs.withColumn("__key", key).join(first, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    found = simhash.similar(docs)
+    row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "t"))
+    first = found.groupBy("component").agg(row.alias("r")).select(F.col("r.doc_id").alias("__id"), F.col("r.t").alias("__first"))
+    given = docs.withColumn("__t", F.xxhash64("text"))
+    kept = given.join(first, (F.col("__t") == F.col("__first")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "__t"]).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

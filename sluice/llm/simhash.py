@@ -196,12 +196,13 @@ def _block_values(prints: np.ndarray, plan: Plan) -> np.ndarray:
 
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, pairs_up_to: int = 8) -> DataFrame:
-    """One row per document: (id, h, component_id), component_id the smallest id reachable over similar texts.
+    """One row per document: (id, h, t, component, component_id), component_id the smallest id reachable over similar texts.
 
     Similarity is the Jaccard index of the sets of ``width``-word shingles. Wide
     fingerprints find the pairs and settle those far from the threshold; the others are
     settled by their texts, if no sure links join them already. ``h`` is a hash of the
     text's words; texts of the same words, also those without any, are one node.
+    ``component`` is the smallest node reachable, ``t`` Spark's hash of the text as it stands.
     Rows with a null id take part; repeated rows come back repeated; an empty table
     gives an empty result. Only the id and text columns are read.
 
@@ -221,11 +222,11 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
                 words = split_words(text)
                 hashes.append(_words_hash(words))
                 rows.append(wide_fingerprint(words, width, plan.words).view(np.int64) if words else None)
-            yield pd.DataFrame({"id": pdf["id"].array, "h": hashes, "fp": rows})
+            yield pd.DataFrame({"id": pdf["id"].array, "t": pdf["t"].array, "h": hashes, "fp": rows})
         release()
 
-    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    own = scratch.write(own.mapInPandas(prints, "id long, h long, fp array<long>"), "prints")
+    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("t"), F.col(f"`{text_col}`").alias("text"))
+    own = scratch.write(own.mapInPandas(prints, "id long, t long, h long, fp array<long>"), "prints")
     nodes = scratch.write(own.groupBy("h").agg(F.min("id").alias("low"), F.first("fp").alias("fp")), "nodes")
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -281,8 +282,8 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         comps = components(settled(measured(pairs(strays, named, F.col("comp_0") != F.col("comp_1")), "strays"), edges))
     labelled = nodes.select("h", "low").join(comps.withColumnRenamed("node", "h"), "h", "left").withColumn("component", F.coalesce("component", "h"))
     lows = labelled.groupBy("component").agg(F.min("low").alias("component_id"))
-    classes = labelled.join(lows, "component").select("h", "component_id")
-    return own.select("id", "h").join(classes, "h").select(F.col("id").alias(id_col), "h", "component_id")
+    classes = labelled.join(lows, "component").select("h", "component", "component_id")
+    return own.select("id", "h", "t").join(classes, "h").select(F.col("id").alias(id_col), "h", "t", "component", "component_id")
 
 
 def split_words(text: str | None) -> list[bytes]:

@@ -91,3 +91,13 @@ def test_odd_tables(spark, world, name, stage):
 
     more = odd.withColumns({c: F.lit(1) for c in ("id", "key", "h", "t", "fp", "gone", "score")})
     assert stage(spark, more, root).count() == out.count()
+
+
+def test_near_dedup_keeps_one_of_each_group_whatever_the_ids(spark):
+    """Null ids, ids of several texts, and a copy that has a null id or the id of another text."""
+    r = random.Random(12)
+    a, b, c, d, e, f = (" ".join(r.choice("abcdefghijklmnop") * 2 + str(r.randrange(99)) for _ in range(60)) for _ in range(6))
+    rows = [(None, a), (None, b), (None, a.upper()), (None, c), (7, c), (7, d), (9, d), (9, e), (9, e), (8, f), (7, f), (None, ""), (None, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], COLUMNS).repartition(3)
+    got = [(x["doc_id"], (x["text"] or "").lower()) for x in P.near_dedup(spark, df, "").collect()]
+    assert sorted(got, key=str) == sorted([(None, a), (None, b), (7, c), (7, d), (9, e), (7, f), (None, "")], key=str)
