@@ -5,8 +5,8 @@ that any such pair must share are joined, and distances verified. ``similar`` as
 for texts of a given similarity instead. At similarity 0.8 a seventh of the bits
 differ, so no 64-bit fingerprint can be split into selective blocks that such a
 pair must share; it takes fingerprints of many more bits, cut into so many blocks
-that a pair shares one but for a stated chance, and verifies the distance over all
-bits.
+that a pair shares one but for a stated chance, and verifies pairs by the distance
+over all bits and then by their texts.
 """
 
 from __future__ import annotations
@@ -125,8 +125,8 @@ class Plan:
     """How many bits a wide fingerprint has, how they are cut, and how far apart similar texts may lie.
 
     ``miss``: chance that a pair at the very similarity shares no block. ``slack``:
-    standard deviations of the distance of such a pair, below which a pair is taken to
-    be similar enough and above which not; those between are compared by their texts.
+    standard deviations of the distance of such a pair, above which a pair is taken not
+    to be similar; all others are compared by their texts.
     """
 
     documents: int
@@ -155,7 +155,7 @@ class Plan:
         return -(-self.blocks * self.block // 64)
 
     def radius(self, side: int) -> int:
-        """Greatest distance of sure pairs (side -1), or of any that may be similar (side 1)."""
+        """Distance ``slack`` deviations below that of a pair at the similarity (side -1), or above it (side 1)."""
         bits = 64 * self.words
         return int(bits * self.differ + side * self.slack * math.sqrt(bits * self.differ * (1 - self.differ)))
 
@@ -166,16 +166,17 @@ class Plan:
 
 
 def wide_fingerprint(words: list[bytes], width: int, n: int) -> np.ndarray:
-    """``n`` 64-bit SimHashes of a text's shingles as one row of unsigned integers, from hashes that one XXH64 a shingle is stirred into."""
+    """``n`` 64-bit SimHashes of a text's set of shingles as one row of unsigned integers, from hashes that one XXH64 a shingle is stirred into."""
     line = memoryview(b" ".join(words))
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     count = max(1, len(words) - width + 1)
     starts, ends = starts[:count].tolist(), ends[min(width, len(words)) - 1 :].tolist()
     one, ones, stir = xxhash.xxh64_intdigest, np.zeros(64 * n, np.int64), _stirs(n)
+    distinct = np.unique(np.fromiter((one(line[s:e]) for s, e in zip(starts, ends)), np.uint64, count))
+    count = len(distinct)
     for i in range(0, count, 2048):
-        h = np.fromiter((one(line[s:e]) for s, e in zip(starts[i : i + 2048], ends[i : i + 2048])), np.uint64)
-        x = h[:, None] * stir
+        x = distinct[i : i + 2048, None] * stir
         x ^= x >> np.uint64(32)
         x *= np.uint64(0xD6E8FEB86659FD93)
         x ^= x >> np.uint64(32)
@@ -199,8 +200,8 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     """One row per document: (id, h, t, component, component_id), component_id the smallest id reachable over similar texts.
 
     Similarity is the Jaccard index of the sets of ``width``-word shingles. Wide
-    fingerprints find the pairs and settle those far from the threshold; the others are
-    settled by their texts, if no sure links join them already. ``h`` is a hash of the
+    fingerprints of those sets find the pairs; a link is one whose texts were compared,
+    and pairs that links join already are not compared. ``h`` is a hash of the
     text's words; texts of the same words, also those without any, are one node.
     ``component`` is the smallest node reachable, ``t`` Spark's hash of the text as it stands.
     Rows with a null id take part; repeated rows come back repeated; an empty table
@@ -227,7 +228,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
 
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("t"), F.col(f"`{text_col}`").alias("text"))
     own = scratch.write(own.mapInPandas(prints, "id long, t long, h long, fp array<long>"), "prints")
-    nodes = scratch.write(own.groupBy("h").agg(F.min("id").alias("low"), F.first("fp").alias("fp")), "nodes")
+    nodes = scratch.write(own.groupBy("h").agg(F.min("id").alias("low"), F.min("t").alias("t"), F.first("fp").alias("fp")), "nodes")
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -255,16 +256,34 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         apart = F.aggregate(F.zip_with("f0", "f1", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
         return scratch.write(both.select("src", "dst", apart.alias("apart")).where(F.col("apart") <= plan.radius(1)), name)
 
-    def settled(found: DataFrame, edges: DataFrame | None) -> DataFrame:
-        """``edges`` and all links among ``found``, as far as they join what the sure ones do not."""
-        sure = found.where(F.col("apart") <= plan.radius(-1)).select("src", "dst")
-        sure = sure if edges is None else sure.unionByName(edges)
-        comps = components(sure)
-        open_ = found.where(F.col("apart") > plan.radius(-1)).select("src", "dst")
-        for end in ("src", "dst"):
-            open_ = open_.join(comps.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}")), end, "left")
-        open_ = open_.where(F.coalesce("c_src", "src") != F.coalesce("c_dst", "dst")).select("src", "dst")
-        return scratch.write(sure.unionByName(_similar_pairs(docs.select(F.col(f"`{text_col}`").alias("text")), scratch.write(open_, "open"), width, similarity)), "edges")
+    def settled(found: DataFrame, comps: DataFrame | None) -> DataFrame:
+        """Components of ``comps`` and of all links among ``found``, each link verified by its texts.
+
+        First the closest pair of each component is compared, twice, which joins most of
+        a large group by few pairs; then all that still lie between components.
+        """
+        need = nodes.select("h", "t").join(found.select(F.col("src").alias("h")).union(found.select("dst")).distinct(), "h", "left_semi")
+        texts = docs.select(F.xxhash64(F.col(f"`{text_col}`")).alias("t"), F.col(f"`{text_col}`").alias("text"))
+        texts = scratch.write(texts.join(need, "t").groupBy("h").agg(F.first("text").alias("text")), "texts")
+        tried = None
+        for last in (False, False, True):
+            left = found if tried is None else found.join(tried, ["src", "dst"], "left_anti")
+            for end in ("src", "dst"):
+                if comps is None:
+                    left = left.withColumn(f"c_{end}", F.col(end))
+                else:
+                    left = left.join(comps.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}")), end, "left").withColumn(f"c_{end}", F.coalesce(f"c_{end}", end))
+            left = left.where("c_src <> c_dst")
+            if not last:
+                closest = F.min(F.struct("apart", "src", "dst")).alias("p")
+                left = left.select(F.explode(F.array("c_src", "c_dst")).alias("c"), "apart", "src", "dst").groupBy("c").agg(closest).select("p.src", "p.dst").distinct()
+            left = scratch.write(left.select("src", "dst"), "open")
+            if left.isEmpty():
+                break
+            tried = left if tried is None else tried.unionByName(left)
+            edges = _similar_pairs(texts, left, width, similarity)
+            comps = components(edges if comps is None else edges.unionByName(comps.select(F.col("node").alias("src"), F.col("component").alias("dst"))))
+        return comps if comps is not None else components(found.select("src", "dst").limit(0))
 
     few = rows.join(sizes.where(F.col("n") <= pairs_up_to).select("k", "v"), ["k", "v"])
     found, hot = pairs(few, few), sizes.where(F.col("n") > pairs_up_to)
@@ -273,13 +292,12 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         many = scratch.write(rows.join(hot.select("k", "v"), ["k", "v"]), "hot")
         leaders = hot.select("k", "v", F.col("first.h").alias("h"), F.col("first.c").alias("c"))
         found = found.unionByName(pairs(many, leaders, F.lit(True))).distinct()
-    edges = settled(measured(found, "pairs"), None)
-    comps = components(edges)
+    comps = settled(measured(found, "pairs"), None)
     if some_hot:
         named = scratch.write(many.join(comps.withColumnRenamed("node", "h"), "h", "left").withColumn("comp", F.coalesce("component", "h")).select("k", "v", "h", "c", "comp"), "named")
         largest = named.groupBy("k", "v", "comp").count().groupBy("k", "v").agg(F.max_by("comp", F.struct("count", "comp")).alias("most"))
         strays = named.join(largest, ["k", "v"]).where("comp <> most").drop("most")
-        comps = components(settled(measured(pairs(strays, named, F.col("comp_0") != F.col("comp_1")), "strays"), edges))
+        comps = settled(measured(pairs(strays, named, F.col("comp_0") != F.col("comp_1")), "strays"), comps)
     labelled = nodes.select("h", "low").join(comps.withColumnRenamed("node", "h"), "h", "left").withColumn("component", F.coalesce("component", "h"))
     lows = labelled.groupBy("component").agg(F.min("low").alias("component_id"))
     classes = labelled.join(lows, "component").select("h", "component", "component_id")
@@ -302,19 +320,11 @@ def jaccard(a: list[bytes], b: list[bytes], width: int) -> float:
 
 
 def _similar_pairs(texts: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Those of (src, dst) whose texts, found by the hash of their words, are similar."""
-
-    @F.pandas_udf("long")
-    def words_hash(column: pd.Series) -> pd.Series:
-        return pd.Series([_words_hash(split_words(t)) for t in column], dtype="int64")
+    """Those of (src, dst) whose texts, rows (h, text), are similar."""
 
     def similar_ones(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pdf.loc[[jaccard(split_words(a), split_words(b), width) >= similarity for a, b in zip(pdf["a"], pdf["b"])], ["src", "dst"]]
 
-    need = pairs.select(F.col("src").alias("h")).union(pairs.select("dst")).distinct()
-    if pairs.isEmpty():
-        return pairs
-    own = texts.select(words_hash("text").alias("h"), "text").join(need, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text"))
-    both = pairs.join(own.select(F.col("h").alias("src"), F.col("text").alias("a")), "src").join(own.select(F.col("h").alias("dst"), F.col("text").alias("b")), "dst")
+    both = pairs.join(texts.select(F.col("h").alias("src"), F.col("text").alias("a")), "src").join(texts.select(F.col("h").alias("dst"), F.col("text").alias("b")), "dst")
     return both.mapInPandas(similar_ones, "src long, dst long")

@@ -88,3 +88,22 @@ def test_plans_hold_at_any_size():
     for n in (0, 1, 1000, 10**6, 10**9):
         p = simhash.Plan(n)
         assert 1 - (1 - (1 - p.differ) ** p.block) ** p.blocks >= 0.99 and p.radius(-1) < p.radius(1) < 32 * p.words
+
+
+def test_similar_texts_with_repeated_shingles(spark):
+    """Shared lines that are repeated many times, in texts that are else of their own, and in texts that are else alike."""
+    r = random.Random(21)
+    word = lambda: "u%d" % r.randrange(10**6)
+    docs = []
+    for _ in range(6):
+        line = " ".join(word() for _ in range(11))
+        for _ in range(2):
+            docs.append("\n".join(f"{' '.join(word() for _ in range(8))}\n{line}" for _ in range(40)))
+        base = " ".join(word() for _ in range(200))
+        docs += [base, base + f"\n{line}" * 40]
+        docs += [" ".join(word() for _ in range(14)) + f"\n{line}" * 60 for _ in range(2)]
+    docs = dict(enumerate(docs))
+    linked = [(a, b) for a in docs for b in docs if a < b and brute.jaccard(docs[a], docs[b]) >= 0.8]
+    assert len(linked) == 6
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar(spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)).collect()}
+    assert got == brute.components(docs, linked)
