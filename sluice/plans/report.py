@@ -48,7 +48,8 @@ def rows(df: DataFrame) -> list[tuple]:
     return [tuple(r) for r in df.collect()]
 
 
-def quality(p: Provenance, dtypes: dict, missing: list, unexpected: list, complete: list, duplicates: tuple, repeated: list, inventories: dict, invalid: list, examples: dict, statuses: list) -> str:
+def quality(p: Provenance, dtypes: dict, missing: list, unexpected: list, complete: list, duplicates: tuple, repeated: list, inventories: dict, invalid: list, examples: dict, statuses: list, all_statuses: tuple[int, int, int]) -> str:
+    """``all_statuses``: status values, their rows, and the rows of those not permitted, of which ``statuses`` may list the commonest only."""
     pol = p.policy
     out = p.head("DATA QUALITY REPORT") + section(1, "SCHEMA CONFORMANCE")
     out += [f"Missing columns    : {', '.join(missing) or 'none'}", f"Unexpected columns : {', '.join(unexpected) or 'none'}", ""]
@@ -64,8 +65,9 @@ def quality(p: Provenance, dtypes: dict, missing: list, unexpected: list, comple
         hide = c in pol.sensitive
         out += [f"{c}  ({len(shapes)} shapes)", *grid(("  SHAPE", "ROWS", "EXAMPLE"), [(f"  {s}", n, "[redacted]" if hide else e) for s, n, e in shapes], (28, 8, 30)), ""]
     out += section(5, "INVALID VALUES") + grid(("CHECK", "ROWS", "EXAMPLES"), [(c, n, ", ".join(map(str, examples.get(c, [])))[:60]) for c, n in invalid], (34, 8, 60))
-    bad = sum(n for v, n in statuses if v not in pol.statuses)
-    out += ["", *section(6, "CATEGORICAL VALIDITY - account_status"), f"Permitted: {', '.join(pol.statuses)}", *grid(("VALUE", "ROWS", "STATUS"), [(repr(v), n, "valid" if v in pol.statuses else "INVALID") for v, n in statuses], (20, 8, 8)), f"Invalid total: {bad} rows ({pct(bad, p.rows):.2f}%)"]
+    values, valued, bad = all_statuses
+    more = [f"Not listed: {values - len(statuses):,} rarer values in {valued - sum(n for _, n in statuses):,} rows"] if values > len(statuses) else []
+    out += ["", *section(6, "CATEGORICAL VALIDITY - account_status"), f"Permitted: {', '.join(pol.statuses)}", *grid(("VALUE", "ROWS", "STATUS"), [(repr(v), n, "valid" if v in pol.statuses else "INVALID") for v, n in statuses], (20, 8, 8)), *more, f"Invalid total: {bad} rows ({pct(bad, p.rows):.2f}%)"]
     worst = max(complete, key=lambda r: r[4], default=None)
     out += ["", *section("", "SUMMARY"), f"Rows profiled            : {p.rows:,}", f"Columns with missing data: {sum(r[4] > 0 for r in complete)}"]
     if worst:

@@ -87,7 +87,7 @@ def quality_report(raw: DataFrame, pol: Policy, p: report.Provenance) -> tuple[s
     columns = [c for c in raw.columns if c != "row_idx"]
     missing, unexpected = profile.drift(columns, pol)
     complete = report.rows(profile.completeness(raw, columns))
-    duplicates, repeated, invalid, shown, inventories, statuses = (0, 0), [], [], {}, {}, []
+    duplicates, repeated, invalid, shown, inventories, statuses, all_statuses = (0, 0), [], [], {}, {}, [], (0, 0, 0)
     if "customer_id" in columns:
         by = profile.duplicate_ids(raw)
         duplicates = tuple(profile.surplus(by).first())
@@ -103,8 +103,11 @@ def quality_report(raw: DataFrame, pol: Policy, p: report.Provenance) -> tuple[s
                 shown[name] = [r[0] for r in profile.examples(raw.where(F.coalesce(predicate, F.lit(False))), redact(value) if hide else value, k, ordered=ordered).collect()]
     inventories = {c: report.rows(profile.format_inventory(raw, c)) for c in profile.INVENTORIED if c in columns}
     if "account_status" in columns:
-        statuses = report.rows(profile.histogram(raw, "account_status").limit(50))
-    return report.quality(p, dict(raw.select(*columns).dtypes), missing, unexpected, complete, duplicates, repeated, inventories, invalid, shown, statuses), sum(n for _, n in invalid)
+        by = profile.histogram(raw, "account_status")
+        statuses = report.rows(by.limit(50))
+        rows_of = lambda which: F.coalesce(F.sum(F.when(which, F.col("rows"))), F.lit(0))
+        all_statuses = tuple(by.agg(F.count("*"), rows_of(F.lit(True)), rows_of(~F.col("value").isin(*pol.statuses))).first())
+    return report.quality(p, dict(raw.select(*columns).dtypes), missing, unexpected, complete, duplicates, repeated, inventories, invalid, shown, statuses, all_statuses), sum(n for _, n in invalid)
 
 
 def pii_report(raw: DataFrame, pol: Policy, p: report.Provenance) -> tuple[str, int, int]:

@@ -6,7 +6,7 @@ import pytest
 
 from sluice import cli
 from sluice.operators import generate
-from sluice.plans import run
+from sluice.plans import report, run
 from sluice.sources import io
 from sluice.streaming import stream
 from tests.test_operators import GOOD
@@ -132,3 +132,14 @@ def test_stream(spark, policy, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {(r["column"], r["detector"]): r["rows"] for r in spark.table("hits").collect()} == {("email", "email"): 3, ("phone", "phone"): 4}
+
+
+def test_all_statuses_count(spark, policy):
+    """More values than the report lists; a null and a common valid value among them."""
+    rows = [("active",)] * 40 + [(None,)] + [(f"odd {i}",) for i in range(70) for _ in range(2 if i < 20 else 1)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row_idx long, account_status string")
+    text, _ = run.quality_report(df, policy, report.Provenance("s", "d", len(rows), policy))
+    assert "Invalid total: 91 rows (69.47%)" in text and "Not listed: 22 rarer values in 22 rows" in text
+    few = df.where("row_idx < 42")
+    text, _ = run.quality_report(few, policy, report.Provenance("s", "d", 42, policy))
+    assert "Invalid total: 2 rows (4.76%)" in text and "Not listed" not in text
