@@ -41,7 +41,13 @@ IMPLIED = {
     "option": (frozenset(["option"]), frozenset(["select"])),
     **{t: (frozenset(["tbody", "thead", "tfoot", "tr"]), frozenset(["table"])) for t in ("tbody", "thead", "tfoot")},
 }
+#: What may stand in a head; the start of anything else, or text, ends one that is open.
+IN_HEAD = frozenset("html base basefont bgsound link meta title style script noscript template noframes".split())
+#: Elements that a slash at the end of the start tag closes.
+FOREIGN = frozenset(["svg", "math"])
 ENDS_P = BLOCKS - {"html", "body", "tr", "tbody", "thead", "tfoot", "caption"}
+#: What stands in these is not in the head itself.
+_HEAD_BOUNDS = frozenset(["template", "noscript"])
 _P_BOUNDS = frozenset("button table td th caption object template".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.DOTALL)
@@ -117,12 +123,17 @@ def parse(page: str) -> list[Node]:
             if stack[k][0] in bounds:
                 return
 
+    def shown(text: str):
+        if stack[-1][0] == "head" and text.strip():
+            close(len(stack) - 1)
+        add(text)
+
     while at < n:
         m = _TAG.search(page, at)
         if m is None:
-            add(page[at:])
+            shown(page[at:])
             break
-        add(page[at : m.start()])
+        shown(page[at : m.start()])
         at = m.end()
         if m[2] is None:
             if m[0].startswith("<![CDATA["):
@@ -141,6 +152,8 @@ def parse(page: str) -> list[Node]:
             if tag in ("td", "th"):
                 add(" ")
             continue
+        if hidden and tag not in IN_HEAD:
+            close_open(frozenset(["head"]), _HEAD_BOUNDS)
         if tag in ENDS_P:
             close_open(frozenset(["p"]), _P_BOUNDS)
         if tag in IMPLIED:
@@ -165,7 +178,7 @@ def parse(page: str) -> list[Node]:
         else:
             if tag in ("button", "select", "textarea") and not hidden:
                 nodes[next(i for _, i in reversed(stack) if i >= 0)].controls += 1
-            if attrs.rstrip().endswith("/") and tag not in UNSEEN | RAW:
+            if attrs.rstrip().endswith("/") and (tag in FOREIGN or tag not in UNSEEN | RAW):
                 continue
             stack.append((tag, -1))
             hidden += tag in UNSEEN

@@ -31,6 +31,14 @@ def texts(page):
         ('<p title="a > b">c</p>', ["c"]),
         ("", []),
         ("just text", ["just text"]),
+        ("<html><head><title>t</title><body><article>a</article></html>", ["a"]),
+        ("<head><meta name=x><style>p{}</style><link rel=y><script>1</script><p>a<p>b", ["a", "b"]),
+        ("<head><title>t</title>a<p>b", ["a", "b"]),
+        ("<head><head><title>t</title><body>a", ["a"]),
+        ("<head><noscript><p>no</p></noscript><template><p>no</p></template><title>t</title></head>a", ["a"]),
+        ("<div>a<svg viewBox='0 0 1 1'/>b</div><p>c<math/>d", ["ab", "cd"]),
+        ("<div>a<svg><path d='z'/><text>no</text></svg>b</div>", ["ab"]),
+        ("<div>a<iframe/>no</iframe>b</div>", ["ab"]),
     ],
 )
 def test_parse(page, want):
