@@ -5,17 +5,18 @@ five-word shingles. A text holds an item if a window of as many shingles as the
 item has is similar to it: sum of smaller counts over sum of larger counts of
 each shingle at least 0.8.
 
-Each item sets the size of the windows that are fingerprinted for it: the longest
-stretch that such a window must share with the item in one piece (``stretch``),
-less the stride at which windows begin. Wherever a similar window lies, one of
-the fingerprinted windows falls inside that stretch, so it has the words of one
-of the item's own windows. A multi-index of Hamming blocks gives all item windows
-within the radius, and each candidate's place in the text is verified by exact
-similarity.
+Each item has one fingerprint, of all its shingles, and so has each window of a text
+of just the item's size, wherever a window can begin: at every shingle so near to one
+of the item's own that a window from there holds it (others share nothing with it).
+A multi-index of Hamming blocks gives all items of that size within the radius, which
+a window of the very similarity exceeds with a chance of 1 in 30,000, and the exact
+weighted similarity of shingles verifies each candidate.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,17 +29,23 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import release, text_batches
 
-#: Shingles fingerprinted at once; words whose hashes a worker keeps; bytes of items sent to workers at once.
-BLOCK, WORDS_KEPT, ITEM_BYTES = 1 << 14, 400_000, 4 << 20
+#: Shingles hashed at once; words whose hashes a worker keeps; bytes of items sent to workers at once.
+BLOCK, WORDS_KEPT, ITEM_BYTES = 1 << 14, 400_000, 16 << 20
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
 @dataclass(frozen=True)
 class Settings:
+    """``slack``: standard deviations of the distance of a window at the similarity, which the radius lies above it."""
+
     width: int = 5
     similarity: float = 0.8
-    stride: int = 4
-    radius: int = 3
+    slack: float = 4.0
+
+    @property
+    def radius(self) -> int:
+        differ = math.acos(2 * self.similarity / (1 + self.similarity)) / math.pi
+        return int(64 * differ + self.slack * math.sqrt(64 * differ * (1 - differ)))
 
 
 class WordHashes(dict):
@@ -67,116 +74,84 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
-def running_bits(shingles: np.ndarray) -> np.ndarray:
-    """Row i: how often each bit is set in the first i shingles, modulo 256."""
-    bits = np.zeros((len(shingles) + 1, 64), np.uint8)
+def window_prints(shingles: np.ndarray, size: int) -> np.ndarray:
+    """Fingerprints of all windows of ``size`` shingles: a bit is 1 if it is set in over half of them."""
+    bits = np.zeros((len(shingles) + 1, 64), np.int32)
     bits[1:] = np.unpackbits(shingles.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    return np.add.accumulate(bits, axis=0, dtype=np.uint8)
-
-
-def simhashes(running: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """Fingerprints of the windows of ``size`` (at most 255) shingles that begin at ``at``."""
-    ones = running[at + size] - running[at]
-    return np.packbits(ones > size // 2, axis=1, bitorder="little").view("<u8").ravel()
-
-
-def stretch(shingles: int, similarity: float) -> int:
-    """Shingles in a row that any window of the item's size and at least that similarity shares with it.
-
-    Similarity s leaves at most (1 - s) / (1 + s) of the item's shingles unmatched. A
-    word changed, dropped or put in between others undoes four shingles at least, so
-    there are no more such places than a quarter of those, and the matched shingles lie
-    in one part more than there are places.
-    """
-    undone = int((1 - similarity) / (1 + similarity) * shingles + 1e-9)
-    return -(-(shingles - undone) // (undone // 4 + 1))
-
-
-def window_size(shingles: int, settings: Settings) -> tuple[int, int]:
-    """(shingles, stride) of the windows fingerprinted for an item; of near sizes the smaller, so that few sizes occur.
-
-    A stretch of r shingles holds a window of r - stride + 1 that begins on the stride;
-    for the shortest stretches the stride is the shorter.
-    """
-    whole = stretch(shingles, settings.similarity)
-    stride = min(settings.stride, whole)
-    most, size = min(255, whole - stride + 1), 1
-    while max(size + 1, size * 5 // 4) <= most:
-        size = max(size + 1, size * 5 // 4)
-    return size, stride
+    running = np.cumsum(bits, axis=0, dtype=np.int32)
+    return np.packbits(2 * (running[size:] - running[:-size]) > size, axis=1, bitorder="little").view("<u8").ravel()
 
 
 class MultiIndex:
     """All of a set of fingerprints within ``radius`` bits of a query.
 
-    The 64 bits are cut into four blocks. If two fingerprints differ in at most
-    ``radius`` bits, they differ in at most radius // 4 bits in one block; each value is
-    entered in every block's table under all values so near, so looking each block up
-    once finds every one. Those found are verified over all bits.
+    The 64 bits are cut into eight blocks. If two fingerprints differ in at most
+    ``radius`` bits, they differ in at most radius // 8 bits in one block; for each value of
+    each block a bit set says which fingerprints are so near there, and the union of
+    a query's eight sets has every one. Those found are verified over all bits.
     """
 
     def __init__(self, values: np.ndarray, radius: int):
-        self.values, self.radius, self.tables = values, radius, []
-        balls = np.zeros(1, np.int64)
-        for _ in range(radius // 4):
-            balls = np.unique(np.concatenate([balls] + [balls ^ (1 << b) for b in range(16)]))
-        for k in range(4):
-            block = (values >> np.uint64(16 * k) & np.uint64(0xFFFF)).astype(np.int64)
-            key = (block[:, None] ^ balls).ravel()
-            order = np.argsort(key, kind="stable")
-            who = np.repeat(np.arange(len(values)), len(balls))[order]
-            self.tables.append((np.searchsorted(key[order], np.arange(65537)).astype(np.int32), who))
+        self.values, self.radius = values, radius
+        blocks = values[:, None] >> np.uint64(8) * np.arange(8, dtype=np.uint64) & np.uint64(0xFF)
+        near = np.bitwise_count(np.arange(256, dtype=np.uint64)[:, None, None] ^ blocks) <= radius // 8  # value, fingerprint, block
+        self.sets = np.packbits(near.transpose(2, 0, 1), axis=2, bitorder="little")
 
     def near(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place of the query, place of the value) of every pair within the radius."""
-        found = []
-        for k, (starts, who) in enumerate(self.tables):
-            block = (queries >> np.uint64(16 * k) & np.uint64(0xFFFF)).astype(np.int64)
-            lo = starts[block]
-            count = starts[block + 1] - lo
-            hit = np.flatnonzero(count)
-            if not len(hit):
-                continue
-            lo, count = lo[hit], count[hit]
-            q = np.repeat(hit, count)
-            v = who[np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(len(q))]
-            near = np.bitwise_count(queries[q] ^ self.values[v]) <= self.radius
-            found.append(np.stack([q[near], v[near]]))
-        return tuple(np.unique(np.concatenate(found, axis=1), axis=1)) if found else (np.empty(0, np.int64),) * 2
+        found = [(np.empty(0, np.int64),) * 2]
+        step = max(1, (1 << 22) // max(1, len(self.values)))
+        for lo in range(0, len(queries), step):
+            some = queries[lo : lo + step]
+            union = functools.reduce(np.bitwise_or, (self.sets[k, (some >> np.uint64(8 * k) & np.uint64(0xFF)).astype(np.int64)] for k in range(8)))
+            q, v = np.nonzero(np.unpackbits(union, axis=1, count=len(self.values), bitorder="little"))
+            near = np.bitwise_count(some[q] ^ self.values[v]) <= self.radius
+            found.append((q[near] + lo, v[near]))
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
 class Items:
-    """Benchmark items ready to be found in texts. Items of under ``width`` words have no shingle and match nothing."""
+    """Benchmark items ready to be found in texts.
+
+    An item of under ``width`` words is one shingle, which only a text of just the same words holds.
+    """
 
     def __init__(self, rows: list[tuple[int, str]], settings: Settings):
         self.settings, hashes = settings, WordHashes()
-        self.shingles: list[Counter] = []
-        self.ids, by_size = [], defaultdict(list)
-        for item, text in rows:
+        self.ids, self.texts = [r[0] for r in rows], [r[1] for r in rows]
+        self.short: dict[tuple, list[int]] = defaultdict(list)
+        by_size, keys = defaultdict(list), []
+        for k, (_, text) in enumerate(rows):
             words = split_words(text)
             n = len(words) - settings.width + 1
-            if n < 1:
-                continue
-            (size, stride), k = window_size(n, settings), len(self.ids)
-            self.ids.append(item)
-            self.shingles.append(Counter(tuple(words[i : i + settings.width]) for i in range(n)))
-            running = running_bits(shingle_hashes(np.array([hashes[w] for w in words], np.uint64), settings.width))
-            at = np.arange(n - size + 1)
-            by_size[size, stride].append((np.full(len(at), k), at, simhashes(running, at, size)))
-        self.sizes = []
-        for (size, stride), parts in sorted(by_size.items()):
-            item, at, prints = (np.concatenate(x) for x in zip(*parts))
-            self.sizes.append((size, stride, item, at, MultiIndex(prints, settings.radius)))
-        self.counts = [sum(c.values()) for c in self.shingles]
-
-    def verify(self, words: list[bytes], item: int, at: int) -> tuple[float, int]:
-        """Highest similarity of the item with a window that begins near shingle ``at``, and where that begins."""
-        width, n, wanted = self.settings.width, self.counts[item], self.shingles[item]
-        total = len(words) - width + 1
-        slack = n // 9 + 1
-        lo, hi = max(0, at - slack), min(total, at + slack + n)
-        row = [tuple(words[i : i + width]) for i in range(lo, hi)]
-        size = min(n, len(row))
+            if n >= 1:
+                shingles = shingle_hashes(np.array([hashes[w] for w in words], np.uint64), settings.width)
+                by_size[n].append((k, window_prints(shingles, n)[0]))
+                keys.append(np.stack([shingles, np.full(n, n, np.uint64)]))
+            elif words:
+                self.short[tuple(words)].append(k)
+        self.sizes = {n: (np.array([k for k, _ in x]), MultiIndex(np.array([fp for _, fp in x], np.uint64), settings.radius)) for n, x in by_size.items()}
+        # which sizes of items have a shingle
+        keys = np.unique(np.concatenate(keys, axis=1), axis=1) if keys else np.empty((2, 0), np.uint64)
+        self.shingles, self.of_size = keys[0], keys[1].astype(np.int64)
+        # tells most shingles of no item at once
+        slots = min(27, max(20, len(self.shingles).bit_length() + 4))
+        self.shift, self.maybe = np.uint64(64 - slots), np.zeros(1 << slots, bool)
+        self.maybe[self.shingles >> self.shift] = True
+        self.wanted: dict[int, Counter] = {}
+
+    def verify(self, words: list[bytes], item: int, first: int, last: int) -> tuple[float, int]:
+        """Highest similarity of the item with a window that begins from shingle ``first`` to ``last``, and where that begins."""
+        width = self.settings.width
+        if item not in self.wanted:
+            if len(self.wanted) > 1024:
+                self.wanted.clear()
+            own = split_words(self.texts[item])
+            self.wanted[item] = Counter(tuple(own[i : i + width]) for i in range(len(own) - width + 1))
+        wanted = self.wanted[item]
+        n = sum(wanted.values())
+        size = min(n, len(words) - width + 1)
+        row = [tuple(words[i : i + width]) for i in range(first, last + size)]
         have, both, best = Counter(), 0, (0.0, 0)
         for i, s in enumerate(row):
             have[s] += 1
@@ -186,39 +161,44 @@ class Items:
                 both -= have[old] <= wanted.get(old, 0)
                 have[old] -= 1
             if i >= size - 1:
-                best = max(best, (both / (n + size - both), -(lo + i - size + 1)))
+                best = max(best, (both / (n + size - both), -(first + i - size + 1)))
         return best[0], -best[1]
 
     def search(self, texts: list[list[bytes]], hashes: WordHashes) -> list[tuple[int, int, float, int]]:
         """(number of the text, number of the item, similarity, first word) of the items that texts hold."""
-        width, hits = self.settings.width, []
+        width, s = self.settings.width, self.settings.similarity
+        hits = [(t, k, 1.0, 0) for t, words in enumerate(texts) if len(words) < width for k in self.short.get(tuple(words), ())]
         # shingles of all texts in one row; owner and place tell whose they are
         rows = [shingle_hashes(np.array([hashes[w] for w in words], np.uint64), width) for words in texts]
-        lengths = np.array([len(r) for r in rows])
+        lengths = np.array([len(r) for r in rows], np.int64)
         ends, whole = np.cumsum(lengths), np.concatenate(rows) if rows else np.empty(0, np.uint64)
-        begins, seen = ends - lengths, set()
-        reach = max((size for size, *_ in self.sizes), default=0)
-        for lo in range(0, len(whole), BLOCK):
-            running = running_bits(whole[lo : lo + BLOCK + reach])
-            start = np.arange(lo, min(lo + BLOCK, len(whole)))
-            owner = np.searchsorted(ends, start, side="right")
-            place = start - begins[owner]
-            room = lengths[owner] - place
-            grids = {stride: np.flatnonzero(place % stride == 0) for _, stride, *_ in self.sizes}
-            for size, stride, item, at, index in self.sizes:
-                fits = grids[stride]
-                fits = fits[room[fits] >= size]
-                q, v = index.near(simhashes(running, start[fits] - lo, size))
-                for t, k, begin in zip(owner[fits[q]].tolist(), item[v].tolist(), (place[fits[q]] - at[v]).tolist()):
-                    seen.add((t, k, begin))
+        at = np.flatnonzero(self.maybe[whole >> self.shift])
+        lo, hi = (np.searchsorted(self.shingles, whole[at], side=side) for side in ("left", "right"))
+        count = hi - lo
+        size = self.of_size[np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())]
+        at = np.repeat(at, count)
         best: dict[tuple[int, int], tuple[float, int]] = {}
-        for t, k, begin in sorted(seen):
-            if best.get((t, k), (0.0, 0))[0] < 1:
-                s, first = self.verify(texts[t], k, begin)
-                if s >= self.settings.similarity and s > best.get((t, k), (0.0, 0))[0]:
-                    best[t, k] = s, first
-        hits = [(t, k, s, first) for (t, k), (s, first) in best.items()]
-        return hits
+        for n in np.unique(size).tolist():
+            p = at[size == n]
+            t = np.searchsorted(ends, p, side="right")
+            begin, length = (ends - lengths)[t], lengths[t]
+            long_enough = length >= s * n
+            p, t, begin, length = (x[long_enough] for x in (p, t, begin, length))
+            own = np.minimum(n, length)  # a text shorter than the item is one window
+            first, last = np.maximum(begin, p - own + 1), np.minimum(p, begin + length - own)
+            new = np.flatnonzero(np.concatenate(([True], (t[1:] != t[:-1]) | (first[1:] > last[:-1] + 1)))) if len(t) else np.empty(0, np.int64)
+            items, index = self.sizes[n]
+            for a, b in zip(new.tolist(), np.append(new[1:], len(t)).tolist()):
+                who, start = int(t[a]), int(begin[a])
+                for lo in range(int(first[a]), int(last[b - 1]) + 1, BLOCK):
+                    stop = min(lo + BLOCK, int(last[b - 1]) + 1)
+                    q, v = index.near(window_prints(whole[lo : stop - 1 + int(own[a])], int(own[a])))
+                    for k in np.unique(v).tolist():
+                        near, item = q[v == k], int(items[k])
+                        found = self.verify(texts[who], item, lo + int(near[0]) - start, lo + int(near[-1]) - start)
+                        if found[0] >= s and found[0] > best.get((who, item), (0.0, 0))[0]:
+                            best[who, item] = found
+        return hits + [(t, k, x, first) for (t, k), (x, first) in best.items()]
 
 
 def item_blocks(benchmark: DataFrame, settings: Settings, id_col: str, text_col: str) -> Iterator[Items]:
@@ -251,8 +231,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
     """One row per text and item that it holds: (id, item, similarity, first_word).
 
     ``first_word`` is where the most similar window begins. Null and empty texts and
-    items hold nothing; items of under five words match nothing. A null id is carried
-    along; repeated rows are found as often as they stand there, and so are repeated
+    items hold nothing; an item of under five words is held only by a text of just the
+    same words. A null id is carried along; repeated rows are found as often as they stand there, and so are repeated
     items. Empty tables give an empty result. Documents stay in their own partitions.
     """
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
