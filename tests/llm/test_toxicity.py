@@ -1,10 +1,15 @@
+import os
 import random
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.llm import toxicity
+from sluice.llm.queries import crc_is_one
+
+SF = "/root/testdata/sf0.1"
 
 INSULTS, GROUPS = ["zorgle", "plonk", "varmint"], ["martians", "robots"]
 
@@ -47,6 +52,47 @@ def test_held_out_accuracy(spark, pairwise, clashing):
     assert len(wrongly) <= 0.03 * len(held)
 
 
+def test_factors_learn_what_weights_cannot(spark):
+    """Either of two words alone is toxic, both together or none are not."""
+    r = random.Random(4)
+    docs, truth = [], {}
+    for i in range(1500):
+        a, b = r.random() < 0.4, r.random() < 0.4
+        text = ["w%d" % r.randrange(300) for _ in range(r.randint(3, 40))] + ["zorgle"] * a + ["martians"] * b
+        r.shuffle(text)
+        docs.append((i, " ".join(text)))
+        truth[i] = int(a != b)
+    held = {i for i in truth if zlib.crc32(str(i).encode()) % 3 == 1}
+    df, known = frames(spark, docs, [x for x in truth.items() if x[0] not in held])
+    machine = toxicity.train(df, known)
+    linear = toxicity.Machine(machine.slots, machine.bias, machine.weights, 0 * machine.factors)
+    texts, labels = [t for i, t in docs if i in held], np.array([truth[i] for i in truth if i in held])
+    accuracy = lambda scores: max(np.mean((scores >= x) == labels) for x in np.unique(scores))
+    assert np.mean((machine.score(texts) >= 0.5) == labels) >= 0.95 and accuracy(linear.score(texts)) <= 0.87
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the tables are not here")
+def test_factors_count_on_the_tables(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    own = labels.where(crc_is_one("doc_id", 3) == F.lit(False))
+    machine = toxicity.train(docs, own)
+    linear = toxicity.Machine(machine.slots, machine.bias, machine.weights, 0 * machine.factors)
+    rows = docs.join(labels.where(crc_is_one("doc_id", 3)), "doc_id").select("text", "toxic").collect()
+    texts, toxic = [r["text"] for r in rows], np.array([r["toxic"] for r in rows])
+    whole, alone = machine.score(texts), linear.score(texts)
+    logit = lambda p: np.log(p / (1 - p))
+    assert np.mean(np.abs(logit(whole) - logit(alone))) >= 0.3 and ((whole >= 0.7) != (alone >= 0.7)).sum() >= 5
+    found = whole >= 0.7
+    assert toxic[found].mean() >= 0.95 and found[toxic == 1].mean() >= 0.78 and (found != toxic).mean() <= 0.025
+
+
+def test_conflicting_labels_are_toxic(spark):
+    docs, labels = labelled(300)
+    df, known = frames(spark, docs, labels)
+    both = known.union(known.where("toxic = 1").selectExpr("doc_id", "0")).repartition(5)
+    assert toxicity.train(df, both).weights.tolist() == toxicity.train(df, known).weights.tolist()
+
+
 def test_terms_do_not_depend_on_blocks(monkeypatch):
     r = random.Random(2)
     texts = [" ".join("".join(r.choice("abcé") for _ in range(r.randint(1, 9))) for _ in range(r.randint(0, 60))) for _ in range(30)] + [None, "", "é" * 50]
