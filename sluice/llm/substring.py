@@ -5,11 +5,13 @@ A window is known by its anchor: the place in it of the 32-byte string with the
 smallest hash, which equal windows have in the same place. Windows in a row with
 one anchor are one record, so a record stands for some thirty windows, and only
 records whose anchors have the same string can hold equal windows. Records whose
-whole context is equal are settled by hashes at once, first within a task and
-then between tasks. Of what is left, the contexts themselves meet, and their
+whole context is equal, by a cryptographic digest of its bytes, are settled at
+once, first within a task and then between tasks: copied stretches, whose bytes
+would else all be shuffled. Of what is left, the contexts themselves meet, and their
 windows are sorted as suffixes: a mergesort in which two suffixes are compared by
 binary search for their common extension on prefix polynomial hashes. Neighbours
-that agree on all bytes are verified byte by byte.
+that agree on all bytes are verified byte by byte. No polynomial hash decides
+anything that is not verified.
 """
 
 from __future__ import annotations
@@ -55,6 +57,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def digests(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Two 64-bit integers for each stretch of bytes: a digest that only equal bytes share."""
+    view, one = memoryview(data), hashlib.blake2b
+    raw = b"".join([one(view[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist())])
+    return np.frombuffer(raw, "<i8").reshape(-1, 2)
+
+
 class Prefixes:
     """Prefix polynomial hashes of some bytes; the hash of any stretch in constant time."""
 
@@ -80,13 +89,13 @@ def records(data: bytes, starts: np.ndarray, ends: np.ndarray, length: int) -> d
     """One record per anchor and run of windows in some texts that lie in ``data``.
 
     doc: which text; lo and n: first window and number of windows; d: bytes from lo
-    to the anchor; h: hash of the anchor's string; c: of the whole context; l and r: of
+    to the anchor; h: hash of the anchor's string; c and e: digest of the whole context; l and r: hash of
     the anchor with half of what else a window holds on its left and on its right
     (0: no window holds that), 16 bits each. Equal windows lie in records that agree
     on h and on l or r.
     """
     b = np.frombuffer(data, np.uint8)
-    none = {k: np.empty(0, np.int64) for k in ("doc", "lo", "n", "d", "l", "r")} | {k: np.empty(0, np.uint64) for k in ("h", "c")}
+    none = {k: np.empty(0, np.int64) for k in ("doc", "lo", "n", "d", "l", "r", "c", "e")} | {"h": np.empty(0, np.uint64)}
     if len(b) < length:
         return none
     p = Prefixes(b)
@@ -105,14 +114,14 @@ def records(data: bytes, starts: np.ndarray, ends: np.ndarray, length: int) -> d
     lo, a, doc = at[new], anchor[new], doc[new]
     d = a - lo
     h = grams[a]
-    c = mix(mix(p.hash(lo, n - 1 + length)) + (d * 256 + n).astype(np.uint64))
+    c, e = digests(data, lo, lo + n - 1 + length).T
     half = (length - GRAM) // 2
     left, right = d >= half, d - (n - 1) < half
     l, r = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)  # noqa: E741
     l[left] = (mix(p.hash(a[left] - half, half + GRAM)) & np.uint64(0xFFFF)).astype(np.int64) | 1
     r[right] = (mix(p.hash(a[right], length - half + 1)) & np.uint64(0xFFFF)).astype(np.int64) | 1
     small = {"doc": doc, "lo": lo - starts[doc], "n": n, "d": d, "l": l, "r": r}
-    return {k: v.astype(np.int32) for k, v in small.items()} | {"h": h, "c": c}
+    return {k: v.astype(np.int32) for k, v in small.items()} | {"h": h, "c": c, "e": e}
 
 
 def merged(key: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -129,7 +138,17 @@ def merged(key: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray,
     return key[at], lo[at], (reach - group * span)[np.append(at[1:], len(key)) - 1]
 
 
-COLUMNS = "settled boolean, h long, c long, l int, r int, key long, lo long, n long, d int"
+COLUMNS = "settled boolean, h long, c long, e long, l int, r int, key long, lo long, n long, d int"
+#: The order in which equal records meet, the earliest first.
+ORDER = ("h", "c", "e", "key", "lo")
+
+
+def _again(names: tuple[str, ...], columns: dict, last: tuple | None = None) -> np.ndarray:
+    """Which rows, in order of ``names``, agree in them with the one before; ``last``: what the rows before ended with."""
+    x = [np.asarray(columns[k]) for k in names]
+    if not len(x[0]):
+        return np.empty(0, bool)
+    return np.concatenate(([last == tuple(v[0] for v in x)], np.logical_and.reduce([v[1:] == v[:-1] for v in x])))
 
 
 def _settled(key: np.ndarray, lo: np.ndarray, hi: np.ndarray, **more) -> pd.DataFrame:
@@ -142,13 +161,13 @@ def find_records(length: int):
 
     def flush(parts: list[dict]) -> Iterator[pd.DataFrame]:
         x = {k: np.concatenate([p.pop(k) for p in parts]) for k in list(parts[0])}
-        order = np.lexsort((x["lo"], x["key"], x["c"], x["h"]))
+        order = np.lexsort(tuple(x[k] for k in reversed(ORDER)))
         x = {k: x.pop(k)[order] for k in list(x)}
-        again = np.concatenate(([False], (x["h"][1:] == x["h"][:-1]) & (x["c"][1:] == x["c"][:-1]))) if len(order) else np.empty(0, bool)
-        gone = _settled(x["key"][again], x["lo"][again], x["lo"][again] + x["n"][again] - 1, settled=True, h=0, c=0, l=0, r=0, d=0)
+        again = _again(ORDER[:3], x)
+        gone = _settled(x["key"][again], x["lo"][again], x["lo"][again] + x["n"][again] - 1, settled=True, h=0, c=0, e=0, l=0, r=0, d=0)
         gone["h"] = mix(gone["key"].to_numpy().astype(np.uint64)).view(np.int64)  # spread
         kept = {k: v[~again] for k, v in x.items()}
-        out = pd.DataFrame({"settled": np.zeros(len(kept["h"]), bool), "h": kept["h"].view(np.int64), "c": kept["c"].view(np.int64)} | {k: kept[k] for k in ("l", "r", "key", "lo", "n", "d")})
+        out = pd.DataFrame({"settled": np.zeros(len(kept["h"]), bool), "h": kept["h"].view(np.int64)} | {k: kept[k] for k in ("c", "e", "l", "r", "key", "lo", "n", "d")})
         names = list(out.columns)
         for frame in (gone, out):
             for i in range(0, len(frame), ROWS):
@@ -199,7 +218,7 @@ def _gathered(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFra
 
 
 def match_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Settle equal records, and ask for the contexts of those that may share windows; rows in order of h, c, key, lo.
+    """Settle equal records, and ask for the contexts of those that may share windows; rows in ``ORDER``.
 
     An anchor string with more records than fit is taken as hot as they come, so a
     task holds a bounded number of rows.
@@ -207,8 +226,8 @@ def match_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     carry, hot, last = None, None, None
 
     def work(x: pd.DataFrame, known_hot) -> Iterator[pd.DataFrame]:
-        h, c, key, lo, n = (x[k].to_numpy() for k in ("h", "c", "key", "lo", "n"))
-        again = np.concatenate(([last == (h[0], c[0])], (h[1:] == h[:-1]) & (c[1:] == c[:-1])))
+        key, lo, n = (x[k].to_numpy() for k in ("key", "lo", "n"))
+        again = _again(ORDER[:3], x, last)
         yield _settled(key[again], lo[again], lo[again] + n[again] - 1, settled=True, h=0, d=0, hot=False)
         x = x[~again]
         h, l, r = x["h"].to_numpy(), x["l"].to_numpy(), x["r"].to_numpy()  # noqa: E741
@@ -246,7 +265,7 @@ def match_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for out in work(whole, h[0] if stop == 0 or hot == h[0] else None):
             yield out[["settled", "key", "lo", "n", "h", "d", "hot"]]
         tail = whole.iloc[-1]
-        last = (tail["h"], tail["c"])
+        last = tuple(tail[k] for k in ORDER[:3])
         hot = h[0] if stop == 0 else hot
         carry = None if stop == 0 else pdf.iloc[stop:]
     if carry is not None and len(carry):
@@ -344,7 +363,10 @@ def window_repeats(group: np.ndarray, d: np.ndarray, n: np.ndarray, contexts: li
 
 
 def match_contexts(length: int):
-    """Settle windows that another context, or for hot anchors another window, holds earlier; rows in order of h, c, key, lo."""
+    """Settle windows that another context, or for hot anchors another window, holds earlier; rows in order of h, c, key, lo.
+
+    A hot anchor's windows come without a context, h and c being the digest of each.
+    """
 
     def cold(x: pd.DataFrame) -> Iterator[pd.DataFrame]:
         h, n = x["h"].to_numpy(), x["n"].to_numpy()
@@ -367,9 +389,8 @@ def match_contexts(length: int):
             windows = pdf["context"].isna().to_numpy()
             if windows.any():
                 x = pdf[windows]
-                h, c = x["h"].to_numpy(), x["c"].to_numpy()
-                again = np.concatenate(([last == (h[0], c[0])], (h[1:] == h[:-1]) & (c[1:] == c[:-1])))
-                last = (h[-1], c[-1])
+                again = _again(("h", "c"), x, last)
+                last = (x["h"].iloc[-1], x["c"].iloc[-1])
                 yield _settled(x["key"].to_numpy()[again], x["lo"].to_numpy()[again], x["lo"].to_numpy()[again])
             pdf = pdf[~windows]
             if carry is not None:
@@ -399,17 +420,17 @@ def _field(name: str):
 
 
 def fetch_contexts(length: int):
-    """The contexts that were asked for; a hot anchor's windows instead by two hashes, of equal ones in a task the first."""
+    """The contexts that were asked for; a hot anchor's windows instead by a digest of each, of equal ones in a task the first."""
 
     def windows(held: list[tuple]) -> Iterator[pd.DataFrame]:
         h, c, key, lo = (np.concatenate(x) for x in zip(*held))
         order = np.lexsort((lo, key, c, h))
         h, c, key, lo = h[order], c[order], key[order], lo[order]
-        again = np.concatenate(([False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])))
+        again = _again(("h", "c"), {"h": h, "c": c})
         for own, settled in ((again, True), (~again, False)):
             k = int(own.sum())
             if k:
-                yield pd.DataFrame({"settled": settled, "h": h[own].view(np.int64), "c": c[own].view(np.int64), "key": key[own], "lo": lo[own], "n": np.ones(k, np.int64), "d": np.zeros(k, np.int32), "context": np.full(k, None, object)})
+                yield pd.DataFrame({"settled": settled, "h": h[own], "c": c[own], "key": key[own], "lo": lo[own], "n": np.ones(k, np.int64), "d": np.zeros(k, np.int32), "context": np.full(k, None, object)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, count = [], 0
@@ -422,11 +443,8 @@ def fetch_contexts(length: int):
                     if not hot:
                         rows.append((False, h, 0, key, lo, n, d, context))
                         continue
-                    p, at = Prefixes(np.frombuffer(context, np.uint8)), np.arange(n)
-                    x = p.hash(at, length)
-                    # a second, independent hash: of the window's halves in another order
-                    y = mix(p.hash(at, length // 2)) * np.uint64(3) + mix(p.hash(at + length // 2, length - length // 2))
-                    held.append((mix(x), mix(y), np.full(n, key), lo + at))
+                    at = np.arange(n)
+                    held.append((*digests(context, at, at + length).T, np.full(n, key), lo + at))
                     count += n
                 if count > ROWS:
                     yield from windows(held)
@@ -450,7 +468,7 @@ def repeated_ranges(docs: DataFrame, scratch: Scratch, length: int) -> DataFrame
     ``docs`` has a unique non-null long ``key``, in whose order texts stand, and ``text``.
     """
     first = docs.mapInPandas(find_records(length), COLUMNS)
-    ordered = first.repartition("h").sortWithinPartitions("h", "c", "key", "lo")
+    ordered = first.repartition("h").sortWithinPartitions(*ORDER)
     known = scratch.write(ordered.mapInPandas(match_records, "settled boolean, key long, lo long, n long, h long, d int, hot boolean"), "records")
     asked = gathered(known.where("NOT settled"), ASKED, "a_")
     fetched = scratch.write(docs.join(asked, "key").mapInPandas(fetch_contexts(length), "settled boolean, h long, c long, key long, lo long, n long, d int, context binary"), "contexts")

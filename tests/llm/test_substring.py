@@ -29,7 +29,7 @@ def local(docs, length=100, rows=7):
         return (df.iloc[i : i + rows] for i in range(0, len(df), rows))
 
     def ordered(df):
-        return df.sort_values(["h", "c", "key", "lo"], ignore_index=True)
+        return df.sort_values([c for c in substring.ORDER if c in df], ignore_index=True)
 
     texts = pd.DataFrame(docs, columns=["key", "text"])
     known = pd.concat(substring.match_records(batches(ordered(pd.concat(substring.find_records(length)(batches(texts)))))))
