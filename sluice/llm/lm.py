@@ -1,11 +1,13 @@
 """Language-model scoring with Brown class-based n-grams.
 
-Words are grouped into classes by exchange clustering; a text's probability is
+Words are grouped into classes by exchange clustering: the most common ones in
+full sweeps, every other frequent word by one exchange. A text's probability is
 the product of class transitions and of words' emissions from their classes,
 beside an add-half unigram base. All counts come from every training document:
-word counts and symbol bigrams are pre-aggregated in each task and summed by a
-shuffle. What is sent to workers is bounded by parameters (the ``frequent`` most
-common words, the class tables); the counts of all other words are joined.
+word counts, bigrams and the classes around each word are pre-aggregated in each
+task and summed by a shuffle. What is sent to workers is bounded by parameters (the
+``frequent`` most common words, the class tables); the counts of all other words
+are joined.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch, text_batches
+from sluice.llm.common import Scratch, release, text_batches
 
 #: Bytes of a text split into words at once, and distinct words a task holds before it hands them on.
 BLOCK, HELD = 1 << 22, 400_000
@@ -55,10 +57,10 @@ def shape(word: bytes, buckets: int) -> int:
 
 @dataclass(frozen=True)
 class Settings:
-    """``frequent``: words whose counts are sent to workers at most; ``clustered``: the most common ones, with a symbol each."""
+    """``frequent``: words with a code and a class of their own, at most; ``seeds``: the most common ones, which are exchanged in full."""
 
     frequent: int = 1 << 18
-    clustered: int = 1000
+    seeds: int = 1000
     buckets: int = 384
     classes: int = 48
     sweeps: int = 12
@@ -66,11 +68,7 @@ class Settings:
 
     @property
     def symbols(self) -> int:
-        return self.clustered + self.buckets + 1
-
-    @property
-    def end(self) -> int:
-        return self.symbols - 1
+        return self.seeds + self.buckets + 1
 
 
 def word_counts(train: DataFrame, settings: Settings) -> DataFrame:
@@ -121,73 +119,130 @@ def fetched(df: DataFrame) -> pd.DataFrame:
     return df.toArrow().to_pandas(split_blocks=True, self_destruct=True)
 
 
-class Vocabulary:
-    """Count, symbol and hash of words, by the broadcast table of frequent words."""
+class Codes:
+    """Codes of words: the rank of a frequent word, or ``size`` and more by the bucket of any other."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, symbols: np.ndarray, settings: Settings):
-        self.table, self.settings = (hashes, counts, symbols), settings
+    def __init__(self, hashes: np.ndarray, ranks: np.ndarray, settings: Settings):
+        self.hashes, self.ranks, self.buckets = hashes, ranks, settings.buckets
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.counts, self.symbols, self.hashes = (np.empty(1 << 12, np.int64) for _ in range(3))
+        self.rare: dict[bytes, int] = {}
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        """Places of the words in ``counts`` (-1: not a frequent word), ``symbols`` and ``hashes``."""
-        known = self.known
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, list[int]]:
+        """(code of each word, hash of each word that is not frequent)."""
+        known, size = self.known, len(self.hashes)
         try:
-            return np.array([known[w] for w in words], np.int64)
+            codes = [known[w] for w in words]
         except KeyError:
-            pass
-        if len(known) > HELD:
-            self.clear()
-            known = self.known
-        fresh = list({w for w in words if w not in known})
-        start, stop = len(known), len(known) + len(fresh)
-        while stop > len(self.counts):
-            self.counts, self.symbols, self.hashes = (np.concatenate((x, np.empty_like(x))) for x in (self.counts, self.symbols, self.hashes))
-        hashes, counts, symbols = self.table
-        h = np.fromiter(map(word_hash, fresh), np.int64, len(fresh))
-        at = np.minimum(np.searchsorted(hashes, h), max(0, len(hashes) - 1))
-        hit = hashes[at] == h if len(hashes) else np.zeros(len(h), bool)
-        own = np.fromiter((self.settings.clustered + shape(w, self.settings.buckets) for w in fresh), np.int64, len(fresh))
-        self.hashes[start:stop] = h
-        self.counts[start:stop] = np.where(hit, counts[at], -1) if len(hashes) else -1
-        self.symbols[start:stop] = np.where(hit & (symbols[at] >= 0), symbols[at], own) if len(hashes) else own
-        known.update(zip(fresh, range(start, stop)))
-        return np.array([known[w] for w in words], np.int64)
-
-
-def bigrams(train: DataFrame, table, settings: Settings) -> DataFrame:
-    """(pair, n): how often each symbol follows another, over all texts; the end stands before and behind each."""
+            if len(known) > HELD:
+                self.clear()
+                known = self.known
+            fresh = list({w for w in words if w not in known})
+            h = np.fromiter(map(word_hash, fresh), np.int64, len(fresh))
+            code = np.full(len(fresh), -1)
+            if size:
+                at = np.minimum(np.searchsorted(self.hashes, h), size - 1)
+                code = np.where(self.hashes[at] == h, self.ranks[at], -1)
+            for w, c, x in zip(fresh, code.tolist(), h.tolist()):
+                known[w] = c if c >= 0 else size + shape(w, self.buckets)
+                if c < 0:
+                    self.rare[w] = x
+            codes = [known[w] for w in words]
+        return np.array(codes, "<i4"), [self.rare[w] for w, c in zip(words, codes) if c >= size]
+
+
+def encoded(docs: DataFrame, table, settings: Settings) -> DataFrame:
+    """``docs`` with ``e`` for ``text``: struct<codes: its words' codes as 32-bit integers, h, t: hashes of words that are not frequent, and how often each stands there>."""
+
+    @F.pandas_udf("codes binary, h array<long>, t array<int>")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codes_of = Codes(*table.value, settings)
+        for texts in batches:
+            out = {"codes": [], "h": [], "t": []}
+            for text in texts:
+                parts = [codes_of(words) for words in word_blocks(text) if words]
+                h, t = np.unique(np.array([x for _, rare in parts for x in rare], np.int64), return_counts=True)
+                out["codes"].append(b"".join([c.tobytes() for c, _ in parts]))
+                out["h"].append(h)
+                out["t"].append(t.astype(np.int32))
+            yield pd.DataFrame(out)
+        codes_of.clear()
+        release()
+
+    return docs.select(*[c for c in docs.columns if c != "text"], encode("text").alias("e"))
+
+
+def _symbols(codes: list[bytes], of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``of`` each code of some texts in a row, the end (last of ``of``) before, between and behind them; and the codes, ends as len(of) - 1."""
+    end = np.array([len(of) - 1])
+    row = np.concatenate([x for c in codes for x in (end, np.frombuffer(c, "<i4"))] + [end])
+    return of[row], row
+
+
+def pair_counts(rows: DataFrame, of: np.ndarray, size: int) -> np.ndarray:
+    """How often each symbol follows another over all texts, rows (codes), as a matrix; ``of``: symbol of each code and of the end."""
+    sent = rows.sparkSession.sparkContext.broadcast(of)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, total, held, waiting = Vocabulary(*table.value, settings), None, [], 0
-        size = settings.symbols
-
-        def add():
-            nonlocal total, held, waiting
-            part = np.bincount(np.concatenate(held), minlength=size * size) if held else np.zeros(size * size, np.int64)
-            total = part if total is None else total + part
-            held, waiting = [], 0
-
+        total = np.zeros(size * size, np.int64)
         for pdf in batches:
-            for text in pdf["text"]:
-                before = settings.end
-                for words in word_blocks(text):
-                    if words:
-                        ids = vocabulary.ids(words)
-                        s = vocabulary.symbols[ids]
-                        held.append(np.concatenate(([before], s[:-1])) * size + s)
-                        before, waiting = int(s[-1]), waiting + len(s)
-                held.append(np.array([before * size + settings.end]))
-                if waiting > 1 << 21:
-                    add()
-        add()
+            s = _symbols(pdf["codes"].tolist(), sent.value)[0].astype(np.int64)
+            total += np.bincount(s[:-1] * size + s[1:], minlength=size * size)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"pair": at.astype(np.int32), "n": total[at]})
 
-    return train.select("text").mapInPandas(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    found = fetched(rows.mapInPandas(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")))
+    out = np.zeros(size * size)
+    out[found["pair"].to_numpy()] = found["n"].to_numpy()
+    return out.reshape(size, size)
+
+
+def assigned(rows: DataFrame, of: np.ndarray, first: int, last: int, pairs: np.ndarray) -> np.ndarray:
+    """Class of each code from ``first`` to ``last``: where the class bigrams' likelihood rises most as its word is exchanged.
+
+    A word's mass is small beside a class's, so the rise is taken from the likelihood's
+    derivative at ``pairs``, the class bigrams, by the classes that stand before and behind
+    the word wherever it occurs. Those counts are summed by word, and each word is
+    decided where they meet.
+    """
+    classes, sent = len(pairs), rows.sparkSession.sparkContext.broadcast(of)
+    log, left, right = np.log(pairs + 1), np.log(pairs.sum(1) + classes), np.log(pairs.sum(0) + classes)
+
+    def around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[np.ndarray] = []
+
+        def out() -> pd.DataFrame:
+            key, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pd.DataFrame({"code": (key // (2 * classes)).astype(np.int32), "slot": (key % (2 * classes)).astype(np.int16), "n": n})
+
+        for pdf in batches:
+            c, code = (x.astype(np.int64) for x in _symbols(pdf["codes"].tolist(), sent.value))
+            at = np.flatnonzero((code >= first) & (code < last))  # never the first or the last, which are ends
+            held += [code[at] * (2 * classes) + c[at + 1], code[at] * (2 * classes) + classes + c[at - 1]]
+            if sum(map(len, held)) > 1 << 22:
+                yield out()
+        if held:
+            yield out()
+        release()
+
+    @F.pandas_udf("int")
+    def best(slots: pd.Series, counts: pd.Series) -> pd.Series:
+        x = np.zeros((len(slots), 2 * classes))
+        for i, (s, n) in enumerate(zip(slots, counts)):
+            x[i, np.asarray(s)] = n
+        r, c = x[:, :classes], x[:, classes:]
+        gain = r @ log.T + c @ log - r.sum(1, keepdims=True) * left - c.sum(1, keepdims=True) * right
+        return pd.Series(gain.argmax(1))
+
+    sums = rows.mapInPandas(around, "code int, slot short, n long").groupBy("code", "slot").agg(F.sum("n").alias("n"))
+    by = sums.groupBy("code").agg(F.collect_list(F.struct("slot", "n")).alias("x"))  # at most 2 * classes to a code
+    found = fetched(by.select("code", best(F.col("x.slot"), F.col("x.n")).alias("class")))
+    out = of[first:last].copy()
+    out[found["code"].to_numpy() - first] = found["class"].to_numpy()
+    return out
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -242,89 +297,106 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int) -> np.ndarray:
     return cls
 
 
-def class_tables(pairs: np.ndarray, cls: np.ndarray, classes: int, prior: float) -> tuple[np.ndarray, np.ndarray]:
-    """log10 of P(class | class before) and of P(symbol | its class)."""
-    member = np.zeros((len(pairs), classes))
-    member[np.arange(len(pairs)), cls] = 1
-    g = member.T @ pairs @ member
-    n = pairs.sum(0).astype(float)
-    of_class = member.T @ (n + 0.5)
-    p = of_class / of_class.sum()
-    step = (g + prior * p) / (g.sum(1, keepdims=True) + prior)
-    return np.log10(step), np.log10((n + 0.5) / of_class[cls])
+@dataclass
+class Model:
+    """A word's probability in its class is (its count + 0.5) / the class's mass.
+
+    ``top``: hashes of the frequent words in the order of their codes; ``classes``: class of each code, then
+    of each bucket and of the end; ``log_counts``: log10 of the count + 0.5, zero for
+    buckets; ``steps``: log10 of P(class | class before); ``mass``: log10 of each class's;
+    ``base``: log10 of the unigram's denominator; ``ends``: texts learnt from.
+    """
+
+    top: np.ndarray
+    classes: np.ndarray
+    log_counts: np.ndarray
+    steps: np.ndarray
+    mass: np.ndarray
+    base: float
+    total: int
+    ends: int
+
+    def sums(self, codes: bytes) -> tuple[int, int, float, float]:
+        """(tokens, known ones, base score, score) of a text but for words that are not frequent, whose log10 of count + 0.5 is to be added to both."""
+        c, code = _symbols([codes], self.classes)
+        log = self.log_counts[code[1:]].sum()
+        n, known = len(code) - 1, int((code[1:-1] < len(self.top)).sum()) + (self.ends > 0)
+        return n, int(known), log - n * self.base, log + self.steps[c[:-1], c[1:]].sum() - self.mass[c[1:]].sum()
+
+
+def fit(counts: DataFrame, top: pd.DataFrame, rows: DataFrame, settings: Settings) -> Model:
+    """The model of training texts: their words' ``counts``, frequent words ``top`` and encoded ``rows`` (codes).
+
+    The seeds and the buckets of other words are grouped by exchange; every other
+    frequent word then goes to the class where the likelihood rises most, and what stands next to
+    what is counted anew with the classes of all words.
+    """
+    size, n = len(top), top["n"].to_numpy()
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    ends = counts.where(F.col("h") == END_HASH).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    codes = np.arange(size + settings.buckets + 1)
+    bucket = np.concatenate((top["shape"].to_numpy(), np.arange(settings.buckets), [settings.buckets]))
+    symbols = np.where(codes < min(size, settings.seeds), codes, settings.seeds + bucket).astype(np.int16)
+    pairs = pair_counts(rows, symbols, settings.symbols)
+    of_symbol = exchange(pairs, settings.classes, settings.sweeps)
+    classes = of_symbol[symbols].astype(np.int16)
+    first = min(size, settings.seeds)
+    if size > first:
+        member = np.eye(settings.classes)[of_symbol]
+        classes[first:size] = assigned(rows, classes, first, size, member.T @ pairs @ member)
+    g = pair_counts(rows, classes, settings.classes)
+    # the mass of each class: its words, and what its buckets hold with one word unseen
+    shapes = counts.where("shape >= 0").groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("v")).toPandas()
+    rest = np.zeros(settings.buckets)
+    rest[shapes["shape"]] = shapes["n"] + 0.5 * shapes["v"]
+    rest -= np.bincount(top["shape"], n + 0.5, settings.buckets)
+    mass = np.bincount(classes, np.concatenate((n + 0.5, rest + 0.5, [ends + 0.5])), settings.classes)
+    share = mass / mass.sum()
+    steps = (g + settings.prior * share) / (g.sum(1, keepdims=True) + settings.prior)
+    log = np.concatenate((np.log10(n + 0.5), np.zeros(settings.buckets), [np.log10(ends + 0.5)]))
+    with np.errstate(divide="ignore"):
+        return Model(top["h"].to_numpy(), classes, log, np.log10(steps), np.log10(mass), float(np.log10(total + 0.5 * (distinct + 1))), int(total), int(ends))
+
+
+def learn(docs: DataFrame, scratch: Scratch, settings: Settings) -> tuple[Model, DataFrame, DataFrame]:
+    """(model, counts of words, docs with codes for text); docs has train and text."""
+    counts = scratch.write(word_counts(docs.where("train").select("text"), settings), "counts")
+    top = frequent_words(counts, settings.frequent)
+    order = np.argsort(top["h"].to_numpy())
+    table = docs.sparkSession.sparkContext.broadcast((top["h"].to_numpy()[order], order))
+    rows = scratch.write(encoded(docs, table, settings), "encoded")
+    return fit(counts, top, rows.where("train").select("e.codes"), settings), counts, rows
 
 
 def score(docs: DataFrame, train: F.Column, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings(), keep: dict[str, F.Column] | None = None) -> DataFrame:
     """One row per document: (id, *keep, n_tokens, n_known, train_tokens, base_score, score).
 
     ``train`` marks the rows to learn from (null: no). A text's tokens are its words
-    and one end. ``base_score`` is the add-half unigram log10 probability; ``score``
-    that of the class model, in which a word outside the clustered vocabulary is
-    emitted by the symbol of its last bytes with its own add-half share there. Null
-    and empty texts are one end. Repeated rows are scored and counted as often as they
-    stand there; a null id is carried along. Without training rows all counts are
-    zero. Words are told apart by 64-bit hashes.
+    and one end. ``base_score`` is the add-half unigram log10 probability; ``score`` that
+    of the class model: the classes' transitions and each word's add-half share in its
+    class. Words that are not frequent have the class of the bucket of their last bytes.
+    Null and empty texts are one end. Repeated rows are scored and counted as often as
+    they stand there; a null id is carried along. Without training rows all counts are
+    zero. Words are told apart by 64-bit hashes. Texts are split into words twice: to
+    count them, and to write them as codes, which all that follows reads.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     text_batches(spark)
     name = lambda c: F.col(f"`{c}`")
     keep = keep or {}
-    learn = docs.where(F.coalesce(train, F.lit(False))).select(name(text_col).alias("text"))
-    counts = scratch.write(word_counts(learn, settings), "counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = frequent_words(counts, settings.frequent)
-    ends = counts.where(F.col("h") == END_HASH).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    symbol = np.where(np.arange(len(top)) < settings.clustered, np.arange(len(top)), -1)
-    order = np.argsort(top["h"].to_numpy())
-    table = spark.sparkContext.broadcast((top["h"].to_numpy()[order], top["n"].to_numpy()[order], symbol[order]))
-    found = fetched(bigrams(learn, table, settings))
-    pairs = np.zeros(settings.symbols**2)
-    pairs[found["pair"].to_numpy()] = found["n"].to_numpy()
-    del found
-    pairs = pairs.reshape(settings.symbols, -1)
-    cls = exchange(pairs, settings.classes, settings.sweeps)
-    steps, emit = class_tables(pairs, cls, settings.classes, settings.prior)
-    shapes = counts.where("shape >= 0").groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("v")).toPandas()
-    n_b, v_b = np.zeros(settings.buckets), np.zeros(settings.buckets)
-    n_b[shapes["shape"]], v_b[shapes["shape"]] = shapes["n"], shapes["v"]
-    head = top.iloc[: settings.clustered]
-    np.subtract.at(n_b, head["shape"].to_numpy(), head["n"].to_numpy())
-    np.subtract.at(v_b, head["shape"].to_numpy(), 1)
-    emit[settings.clustered : settings.clustered + settings.buckets] -= np.log10(n_b + 0.5 * (v_b + 1))
-    base = float(np.log10(total + 0.5 * (distinct + 1)))
-    tables = spark.sparkContext.broadcast((cls, steps, emit))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, (cls, steps, emit) = Vocabulary(*table.value, settings), tables.value
-        for pdf in batches:
-            for lo in range(0, len(pdf), 256):
-                keys, hashes, times, sums = [], [], [], []
-                part = pdf.iloc[lo : lo + 256]
-                for key, doc, text in zip(part["key"].tolist(), part["doc"].to_dict("records") if isinstance(part["doc"], pd.DataFrame) else part["doc"], part["text"]):
-                    before, n, known, b, s, rare = settings.end, 1, int(ends > 0), np.log10(ends + 0.5) - base, 0.0, []
-                    for words in word_blocks(text):
-                        if not words:
-                            continue
-                        ids = vocabulary.ids(words)
-                        count, sym = vocabulary.counts[ids], vocabulary.symbols[ids]
-                        log = np.where(count >= 0, np.log10(count + 0.5, where=count >= 0, out=np.zeros(len(ids))), 0.0)
-                        c = cls[sym]
-                        s += steps[np.concatenate(([cls[before]], c[:-1])), c].sum() + emit[sym].sum() + log[sym >= settings.clustered].sum()
-                        b += log.sum() - base * len(ids)
-                        n, known, before = n + len(ids), known + int((count >= 0).sum()), int(sym[-1])
-                        rare.append(vocabulary.hashes[ids[count < 0]])
-                    s += steps[cls[before], cls[settings.end]] + emit[settings.end]
-                    h, t = np.unique(np.concatenate(rare), return_counts=True) if rare else (np.empty(0, np.int64), np.empty(0, np.int64))
-                    hashes += [np.array([word_hash(b"%d" % key)]), h]
-                    times += [np.zeros(1, np.int64), t]
-                    keys.append(np.full(len(h) + 1, key))
-                    sums += [{"doc": doc, "n": n, "known": known, "base": b, "score": s}] + [None] * len(h)
-                yield pd.DataFrame({"key": np.concatenate(keys), "h": np.concatenate(hashes), "times": np.concatenate(times), "sums": pd.Series(sums, dtype=object)})
-
-    # keys come from the rows' places in the input, so a task that is run again gives the same
-    own = docs.select(F.monotonically_increasing_id().alias("key"), name(text_col).alias("text"), F.struct(name(id_col).alias("id"), *[c.alias(k) for k, c in keep.items()]).alias("doc"))
-    doc_type = own.schema["doc"].dataType.simpleString()
-    rows = own.mapInPandas(run, f"key long, h long, times long, sums struct<doc: {doc_type}, n: long, known: long, base: double, score: double>")
-    log = F.col("times") * F.log10(F.coalesce(F.col("n"), F.lit(0)) + 0.5)
-    by = rows.join(counts.select("h", "n"), "h", "left").groupBy("key").agg(F.max("sums").alias("sums"), F.sum(log).alias("log"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"))
-    return by.select(F.col("sums.doc.id").alias(id_col), *[F.col(f"sums.doc.{k}") for k in keep], F.col("sums.n").alias("n_tokens"), (F.col("sums.known") + F.col("known")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("sums.base") + F.col("log")).alias("base_score"), (F.col("sums.score") + F.col("log")).alias("score"))
+    # keys from the rows' places in the input; written, so they stay
+    own = docs.select(F.monotonically_increasing_id().alias("key"), F.coalesce(train, F.lit(False)).alias("train"), name(text_col).alias("text"), F.struct(name(id_col).alias("id"), *[c.alias(k) for k, c in keep.items()]).alias("doc"))
+    model, counts, rows = learn(own, scratch, settings)
+    sent = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("n long, known long, base double, score double")
+    def sums(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for codes in batches:
+            yield pd.DataFrame([sent.value.sums(c) for c in codes], columns=["n", "known", "base", "score"])
+
+    scored = rows.select("key", "doc", sums("e.codes").alias("s"))
+    rare = rows.select("key", F.explode(F.arrays_zip("e.h", "e.t")).alias("x")).select("key", F.col("x.h").alias("h"), F.col("x.t").alias("t"))
+    log = F.col("t") * F.log10(F.coalesce(F.col("n"), F.lit(0)) + 0.5)
+    more = rare.join(counts.select("h", "n"), "h", "left").groupBy("key").agg(F.sum(log).alias("log"), F.sum(F.when(F.col("n") > 0, F.col("t")).otherwise(0)).alias("more"))
+    out, plus = scored.join(more, "key", "left"), lambda c, m: F.col(c) + F.coalesce(F.col(m), F.lit(0))
+    return out.select(F.col("doc.id").alias(id_col), *[F.col(f"doc.{k}") for k in keep], F.col("s.n").alias("n_tokens"), plus("s.known", "more").alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"), plus("s.base", "log").alias("base_score"), plus("s.score", "log").alias("score"))

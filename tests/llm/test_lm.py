@@ -1,13 +1,16 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sluice.llm import lm
+from sluice.llm.common import Scratch
 from tests.llm import brute
 
-SMALL = lm.Settings(frequent=40, clustered=20, buckets=8, classes=6, sweeps=6)
+SMALL = lm.Settings(frequent=40, seeds=20, buckets=8, classes=6, sweeps=6)
 
 
 def train(i):
@@ -18,7 +21,7 @@ def in_train(c="doc_id"):
     return F.pmod(F.crc32(F.col(c).cast("string").cast("binary")), F.lit(5)) != 1
 
 
-@pytest.mark.parametrize("settings", [SMALL, lm.Settings(), lm.Settings(frequent=0, clustered=0, buckets=4, classes=2)])
+@pytest.mark.parametrize("settings", [SMALL, lm.Settings(), lm.Settings(frequent=0, seeds=0, buckets=4, classes=2)])
 def test_counts_and_base(spark, documents, corpus, clashing, settings):
     got = {r["doc_id"]: r for r in lm.score(clashing(documents), in_train(), settings=settings).collect()}
     for i, (n, known, total, base) in brute.unigram(corpus, train).items():
@@ -53,13 +56,42 @@ def test_exchange_never_lowers_the_likelihood():
     assert all(b >= a - 1e-9 for a, b in zip(steps, steps[1:])) and steps[-1] > steps[0]
 
 
-def test_the_classes_make_a_distribution():
-    r = np.random.default_rng(2)
-    pairs = r.integers(0, 4, (25, 25)).astype(float)
-    cls = lm.exchange(pairs, 5, 5)
-    step, emit = lm.class_tables(pairs, cls, 5, 3.0)
-    assert np.allclose((10**step).sum(1), 1)
-    assert np.allclose(np.bincount(cls, 10**emit, 5), 1)
+@pytest.mark.parametrize("settings", [SMALL, lm.Settings(frequent=1000, seeds=30, classes=5)])
+def test_score_by_hand(spark, documents, corpus, settings):
+    """All counts and probabilities again from the texts, given each word's class."""
+    model, _, _ = lm.learn(documents.select(in_train().alias("train"), "text"), Scratch(spark), settings)
+    rank, size = {h: k for k, h in enumerate(model.top.tolist())}, len(model.top)
+    code = lambda w: -1 if w is None else rank.get(lm.word_hash(w), size + lm.shape(w, settings.buckets))
+    known = [brute.words(t) + [None] for i, t in corpus if train(i)]
+    count, follows, mass = Counter(w for t in known for w in t), Counter(), Counter()
+    for t in known:
+        follows.update((model.classes[code(a)], model.classes[code(b)]) for a, b in zip([None, *t], t))
+    for w, n in count.items():
+        mass[model.classes[code(w)]] += n + 0.5
+    for b in range(settings.buckets):
+        mass[model.classes[size + b]] += 0.5  # a word not seen
+    before, whole = Counter(), sum(mass.values())
+    for (a, _), n in follows.items():
+        before[a] += n
+    step = lambda a, b: (follows[a, b] + settings.prior * mass[b] / whole) / (before[a] + settings.prior)
+    assert all(sum(step(a, b) for b in list(mass)) == pytest.approx(1) for a in list(mass))
+    got = {r["doc_id"]: r["score"] for r in lm.score(documents, in_train(), settings=settings).collect()}
+    for i, t in corpus:
+        words = brute.words(t) + [None]
+        classes = [model.classes[code(w)] for w in [None, *words]]
+        want = sum(math.log10(step(a, b) * (count[w] + 0.5) / mass[b]) for a, b, w in zip(classes, classes[1:], words))
+        assert got[i] == pytest.approx(want, rel=1e-9)
+
+
+def test_words_go_where_their_neighbours_say(spark):
+    """Words that are no seeds, beside seeds of two tongues."""
+    r = np.random.default_rng(5)
+    tongues = [[f"{p}{i}{p}" for i in range(60)] for p in "xy"]
+    weights = np.array([10] * 20 + [1] * 40) / 240
+    docs = [(True, " ".join(r.choice(tongues[i % 2], 200, p=weights))) for i in range(200)]
+    model, _, _ = lm.learn(spark.createDataFrame(docs, "train boolean, text string"), Scratch(spark), lm.Settings(frequent=200, seeds=40, buckets=4, classes=2))
+    of = {h: c for h, c in zip(model.top.tolist(), model.classes.tolist())}
+    assert [len({of[lm.word_hash(w.encode())] for w in t}) for t in tongues] == [1, 1] and len(set(model.classes.tolist())) == 2
 
 
 def test_the_model_beats_its_base_on_held_out_text(spark):
@@ -67,7 +99,7 @@ def test_the_model_beats_its_base_on_held_out_text(spark):
     r = np.random.default_rng(3)
     tongues = [[f"{p}{i}{p}" for i in range(60)] for p in "xy"]
     docs = [(i, " ".join(r.choice(tongues[i % 2], 80))) for i in range(300)]
-    rows = lm.score(spark.createDataFrame(docs, "doc_id long, text string"), in_train(), settings=lm.Settings(frequent=1000, clustered=100, buckets=16, classes=4), keep={"held": ~in_train()}).where("held").collect()
+    rows = lm.score(spark.createDataFrame(docs, "doc_id long, text string"), in_train(), settings=lm.Settings(frequent=1000, seeds=40, buckets=16, classes=4), keep={"held": ~in_train()}).where("held").collect()
     assert len(rows) > 30 and sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows) + 10
 
 
