@@ -9,6 +9,7 @@ labelled pages; ``labelled_pages`` makes such pages from many templates.
 
 from __future__ import annotations
 
+import functools
 import html as _html
 import math
 import random
@@ -298,7 +299,7 @@ def extract(page: str | None, model: Model) -> str:
     return "\n".join(model.blocks(page))
 
 
-def train(pages: list[str], rounds: int = 30, rate: float = 0.15, decay: float = 1e-3, mark: str = "data-gold") -> Model:
+def train(pages: list[str], rounds: int = 15, rate: float = 0.15, decay: float = 1e-3, mark: str = "data-gold") -> Model:
     """Fit a model to pages whose content elements carry the attribute ``mark``, by stochastic gradient ascent (AdaGrad).
 
     A block of text is content if its nearest marked or unmarked ("data-noise")
@@ -345,6 +346,12 @@ def train(pages: list[str], rounds: int = 30, rate: float = 0.15, decay: float =
     return model
 
 
+@functools.cache
+def fitted() -> Model:
+    """The model of ``labelled_pages``, fitted once in a session."""
+    return train(list(labelled_pages()))
+
+
 def extract_text(pages: DataFrame, model: Model, html_col: str = "html", name: str = "text") -> DataFrame:
     """``pages`` with a column ``name``: the main text of each whole page.
 
@@ -362,7 +369,7 @@ def extract_text(pages: DataFrame, model: Model, html_col: str = "html", name: s
     return pages.withColumn(name, main_text(F.col(f"`{html_col}`")))
 
 
-def labelled_pages(n: int = 700, seed: int = 11) -> Iterator[str]:
+def labelled_pages(n: int = 400, seed: int = 11) -> Iterator[str]:
     """Pages from many templates; content elements carry data-gold, what is not content inside them data-noise."""
     r = random.Random(seed)
     syllables = "an the in er on re th st nd ing ion ou le de la que ment ten ver sch ung los cion mi ra".split()
@@ -449,7 +456,7 @@ def labelled_pages(n: int = 700, seed: int = 11) -> Iterator[str]:
         brief = r.random() < 0.2
         title = words(2, 9)
         o, c = r.choice([lambda: ("<article data-gold>", "</article>"), lambda: ("<article data-gold>", "</article>"), lambda: named("main", "content main", " data-gold"), lambda: named("div", "content article post entry story body post-content article-body entry-content main-text text", " data-gold"), lambda: named("section", "content article story post", " data-gold"), lambda: ("<div data-gold>", "</div>"), lambda: named("article", "post article hentry", " data-gold")])()
-        inner = [f"<h1>{title}</h1>"] * (r.random() < 0.8) + [part() for _ in range(r.choice([1, 2, 3, 5, 8, 14, 25]))]
+        inner = [f"<h1>{title}</h1>"] * (r.random() < 0.8) + [part() for _ in range(r.choice([1, 1, 2, 2, 3, 5, 8, 14, 25] + [100] * brief))]
         for _ in range(r.choice([0, 0, 0, 1, 2])):
             x = r.choice([lambda: notice(ads), lambda: links("div", "share social related tags"), form, lambda: notice(notices), comments])()
             at = len(inner) if x.startswith(("<section", "<ol")) else r.randint(0, len(inner))

@@ -86,7 +86,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    text = html.extract_text(pages, html.train(list(html.labelled_pages())))
+    text = html.extract_text(pages, html.fitted())
     return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
