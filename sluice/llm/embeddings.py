@@ -214,7 +214,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     found = scratch.write(dealt.groupBy("dim", "t", "cell", "lo", "hi").applyInPandas(pairs, "k long, links long, low long"), "found")
     links = found.groupBy("k").agg(F.sum("links").alias("links"))
-    comps = components(found.select(F.col("k").alias("src"), F.col("low").alias("dst")))
+    comps = components(found.select(F.col("k").alias("src"), F.col("low").alias("dst")), scratch)
     named = distinct.select("k", "n", "low").join(links, "k", "left").join(comps.withColumnRenamed("node", "k"), "k", "left").withColumn("component", F.coalesce("component", "k"))
     lows = named.groupBy("component").agg(F.min("low").alias("component_id"))
     classes = named.join(lows, "component").select("k", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")

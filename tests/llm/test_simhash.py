@@ -3,6 +3,7 @@ import random
 import pytest
 
 from sluice.llm import simhash
+from sluice.llm.common import Scratch
 from tests.llm import brute
 
 
@@ -35,7 +36,7 @@ def test_dense_blocks_lose_no_link(spark, pairs_up_to):
             values.add(v)
     signed = lambda v: v - (1 << 64) if v >> 63 else v
     df = spark.createDataFrame([(signed(v),) for v in values], "fp long")
-    linked = [(r["src"], r["dst"]) for r in simhash.links(df, pairs_up_to=pairs_up_to).collect()]
+    linked = [(r["src"], r["dst"]) for r in simhash.links(df, Scratch(spark), pairs_up_to=pairs_up_to).collect()]
     nodes = {signed(v) for v in values}
     got = brute.components(nodes | {x for e in linked for x in e}, linked)
     near = [(signed(a), signed(b)) for a in values for b in values if a < b and (a ^ b).bit_count() <= 2]
@@ -67,13 +68,13 @@ def near_corpus():
     return list(enumerate(docs + [None, "", " ", "one two", "ONE  two"]))
 
 
-@pytest.mark.parametrize("pairs_up_to", [2, 8, 64])
-def test_similar_texts(spark, near_corpus, clashing, pairs_up_to):
+@pytest.mark.parametrize("pairs_up_to, side", [(1, 3), (2, 512), (8, 4), (64, 512)])
+def test_similar_texts(spark, near_corpus, clashing, pairs_up_to, side):
     docs = dict(near_corpus)
     linked = [(a, b) for a in docs for b in docs if a < b and brute.jaccard(docs[a], docs[b]) >= 0.8]
     want = brute.components(docs, linked)
     df = clashing(spark.createDataFrame(near_corpus, "doc_id long, text string").repartition(3))
-    got = {r["doc_id"]: r["component_id"] for r in simhash.similar(df, pairs_up_to=pairs_up_to).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar(df, pairs_up_to=pairs_up_to, side=side).collect()}
     assert got == want
 
 
@@ -87,7 +88,7 @@ def test_similar_odd_tables(spark):
 def test_plans_hold_at_any_size():
     for n in (0, 1, 1000, 10**6, 10**9):
         p = simhash.Plan(n)
-        assert 1 - (1 - (1 - p.differ) ** p.block) ** p.blocks >= 0.99 and p.radius(-1) < p.radius(1) < 32 * p.words
+        assert 1 - (1 - (1 - p.differ) ** p.block) ** p.blocks >= 0.999 and 64 * p.words * p.differ < p.radius(p.words) < 32 * p.words
 
 
 def test_similar_texts_with_repeated_shingles(spark):
