@@ -61,7 +61,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
+    """All stages in turn; a stage's intermediates go once its result is written, the result once the next one's is."""
+    docs, before, scratch = table(spark, sf_dir, "documents"), None, Scratch(spark)
     for name, stage in STAGES:
-        docs = scratch.write(stage(spark, docs, sf_dir), name)
+        with Scratch.scope():
+            docs = scratch.write(stage(spark, docs, sf_dir), name)
+        scratch.drop(before)
+        before = docs
     return docs
