@@ -1,7 +1,8 @@
 """Field normalisers: expressions that give struct<value, tag, reason>.
 
 ``reason`` says why a value cannot be repaired, and then ``value`` is null;
-``tag`` names the repair that was made, null if the value stood already.
+``tag`` names the repair that was made, null if the value stood already. What a
+normaliser reads out of a text several times can be given as columns made before.
 """
 
 from __future__ import annotations
@@ -31,10 +32,11 @@ def tagged(changed: Column, name: str) -> Column:
     return F.when(changed, name)
 
 
-def name(c: Column | str, min_len: int = 2, max_len: int = 50) -> Column:
-    raw, text = col(c), collapse(c)
+def name(c: Column | str, min_len: int = 2, max_len: int = 50, text: Column | None = None, titled: Column | None = None) -> Column:
+    raw, text = col(c), collapse(c) if text is None else text
+    titled = title(text) if titled is None else titled
     reasons = [(~full(text, NAME), "malformed_name"), (F.length(text) < min_len, "name_too_short"), (F.length(text) > max_len, "name_too_long")]
-    return outcome(raw, title(text), reasons, tagged(title(text) != raw, "name_normalised"))
+    return outcome(raw, titled, reasons, tagged(titled != raw, "name_normalised"))
 
 
 def customer_id(c: Column | str) -> Column:
@@ -51,14 +53,14 @@ def phone(c: Column | str) -> Column:
     return outcome(raw, text, [(F.length(ten) != 10, "unparseable_phone")], tagged(text != raw, "phone_normalised"))
 
 
-def date(c: Column | str, formats: list[str]) -> Column:
-    """``value`` is a date; only the first format goes untagged if that is YYYY-MM-DD."""
-    raw, found = col(c), V.parse_dates(c, formats)
-    plain = [V.parse_date(c, f) for f in formats if f == "%Y-%m-%d"]
+def date(c: Column | str, formats: list[str], days: list[Column] | None = None) -> Column:
+    """``value`` is a date; only the first format goes untagged if that is YYYY-MM-DD. ``days``: the date by each format."""
+    raw, days = col(c), [V.parse_date(c, f) for f in formats] if days is None else days
     first = F.lit(None).cast("date")
     for i, f in enumerate(formats):
         if f == "%Y-%m-%d":
-            first = F.when(F.coalesce(F.lit(None).cast("date"), *[V.parse_date(c, g) for g in formats[:i]]).isNull(), plain[0])
+            first = F.when(F.coalesce(F.lit(None).cast("date"), *days[:i]).isNull(), days[i])
+    found = F.coalesce(*days)
     return outcome(raw, found, [(found.isNull(), "unparseable_date")], tagged(first.isNull(), "date_normalised"), "date")
 
 
@@ -86,6 +88,6 @@ def email(c: Column | str) -> Column:
     return outcome(raw, text, [(~full(text, EMAIL), "malformed_email")], tagged(text != raw, "email_normalised"))
 
 
-def address(c: Column | str, min_len: int = 10, max_len: int = 200) -> Column:
-    raw, text = col(c), collapse(c)
+def address(c: Column | str, min_len: int = 10, max_len: int = 200, text: Column | None = None) -> Column:
+    raw, text = col(c), collapse(c) if text is None else text
     return outcome(raw, text, [(F.length(text) < min_len, "address_too_short"), (F.length(text) > max_len, "address_too_long")], tagged(text != raw, "address_normalised"))

@@ -13,9 +13,13 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Unicode's white space, as the class \s of a pattern with (?U) has it.
+WHITE = "".join(map(chr, (*range(0x9, 0xE), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def strip(c: Column | str) -> Column:
-    """Without Unicode white space at either end; Spark's trim() takes only spaces."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    """Without Unicode white space at either end; trim() by itself takes only spaces."""
+    return F.btrim(col(c), F.lit(WHITE))
 
 
 def collapse(c: Column | str) -> Column:

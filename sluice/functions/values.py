@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from sluice.functions.text import col, collapse, full, strip
 
 # fixed values: policy directives and the Spark pattern letters that read the same texts
 DIRECTIVES = {"%Y": "yyyy", "%m": "M", "%d": "d", "%B": "MMMM", "%b": "MMM"}
+SHAPES = {"%Y": r"\d{4}", "%m": r"\d{1,2}", "%d": r"\d{1,2}", "%B": r"\p{L}+", "%b": r"\p{L}+"}
 
 #: A number as plain text; Spark alone also takes a trailing d or f.
 NUMBER = r"(?i)[+-]?(\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|[+-]?inf(inity)?"
@@ -25,10 +27,19 @@ def pattern(fmt: str) -> str:
     return fmt
 
 
+def shape_of(fmt: str) -> str:
+    """Pattern of the texts that a strptime format can fit."""
+    parts = re.split("(%[A-Za-z])", fmt)
+    return "".join(SHAPES.get(x, re.escape(x) if not x.startswith("%") else ".*") for x in parts)
+
+
 def parse_date(c: Column | str, fmt: str) -> Column:
-    """Date of a text in one format, else null; there is no year zero."""
+    """Date of a text in one format, else null; there is no year zero.
+
+    Only texts of the format's shape are parsed: each that does not fit costs an exception.
+    """
     text = collapse(c) if "%B" in fmt or "%b" in fmt else strip(c)
-    day = F.to_date(F.try_to_timestamp(text, F.lit(pattern(fmt))))
+    day = F.when(full(text, shape_of(fmt)), F.to_date(F.try_to_timestamp(text, F.lit(pattern(fmt)))))
     return F.when(day >= F.lit("0001-01-01").cast("date"), day)
 
 

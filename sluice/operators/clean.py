@@ -6,38 +6,63 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import normalise as N
-from sluice.functions.text import redact
-from sluice.functions.values import format_date, years
+from sluice.functions.text import collapse, redact, title
+from sluice.functions.values import format_date, parse_date, years
 from sluice.policy import Policy
 
 REJECTION = "array<struct<reason: string, column: string, value: string>>"
 REPAIR = "array<struct<column: string, tag: string>>"
 
 
-def normalisers(policy: Policy) -> dict[str, Column]:
-    """The normaliser of every field, in the order their outcomes are listed."""
+def normalisers(policy: Policy, read: bool = False) -> dict[str, Column]:
+    """The normaliser of every field, in the order their outcomes are listed; ``read``: over the columns that ``normalised`` makes."""
     name_checks, address_checks = policy.checks("first_name"), policy.checks("address")
     name_bounds = {k: int(name_checks[k]) for k in ("min_len", "max_len") if k in name_checks}
     address_bounds = {k: int(address_checks[k]) for k in ("min_len", "max_len") if k in address_checks}
+    made = lambda **names: {k: F.col(v) for k, v in names.items()} if read else {}
+    days = lambda c: {"days": [F.col(f"d{i}_{c}") for i in range(len(policy.date_formats))]} if read else {}
     return {
         "customer_id": N.customer_id("customer_id"),
-        "first_name": N.name("first_name", **name_bounds),
-        "last_name": N.name("last_name", **name_bounds),
+        "first_name": N.name("first_name", **name_bounds, **made(text="k_first_name", titled="u_first_name")),
+        "last_name": N.name("last_name", **name_bounds, **made(text="k_last_name", titled="u_last_name")),
         "email": N.email("email"),
         "phone": N.phone("phone"),
-        "date_of_birth": N.date("date_of_birth", policy.date_formats),
-        "address": N.address("address", **address_bounds),
+        "date_of_birth": N.date("date_of_birth", policy.date_formats, **days("date_of_birth")),
+        "address": N.address("address", **address_bounds, **made(text="k_address")),
         "income": N.income("income", policy.income_cap),
         "account_status": N.status("account_status", policy.statuses, policy.aliases),
-        "created_date": N.date("created_date", policy.date_formats),
+        "created_date": N.date("created_date", policy.date_formats, **days("created_date")),
     }
 
 
+def normalised(raw: DataFrame, policy: Policy) -> DataFrame:
+    """``raw`` with each field's outcome (``n_<field>``). What is used several times is a column of its own, so it is worked out once."""
+    single = {f"k_{c}": collapse(c) for c in ("first_name", "last_name", "address")}
+    days = {f"d{i}_{c}": parse_date(c, f) for c in ("date_of_birth", "created_date") for i, f in enumerate(policy.date_formats)}
+    titled = {f"u_{c}": title(f"k_{c}") for c in ("first_name", "last_name")}
+    read = raw.withColumns(single | days).withColumns(titled)
+    return read.select(*[F.col(f"`{c}`") for c in raw.columns], *[e.alias(f"n_{c}") for c, e in normalisers(policy, read=True).items()])
+
+
 def rejection(reason: str | Column, column: str, value: Column) -> Column:
     reason = F.lit(reason) if isinstance(reason, str) else reason
     return F.struct(reason.alias("reason"), F.lit(column).alias("column"), F.left(F.coalesce(value, F.lit("nan")), F.lit(40)).alias("value"))
 
 
+def outcomes(df: DataFrame, policy: Policy, more: list[Column] = ()) -> DataFrame:
+    """``df``, of ``normalised`` rows, with ``rejections`` and ``repairs`` of each; ``more``: rejections beyond those of one row."""
+    fields, (low, high) = list(normalisers(policy)), policy.ages
+    born, made = F.col("n_date_of_birth.value"), F.col("n_created_date.value")
+    own = [F.when(F.col(f"n_{c}.reason").isNotNull(), rejection(F.col(f"n_{c}.reason"), c, F.col(c))) for c in fields]
+    across = [
+        F.when(~years(born, policy.today).between(low, high), rejection("implausible_age", "date_of_birth", format_date(born))),
+        F.when(made > F.lit(policy.today), rejection("future_created_date", "created_date", format_date(made))),
+        F.when(made < born, rejection("created_before_birth", "created_date", format_date(made))),
+    ]
+    repairs = [F.when(F.col(f"n_{c}.tag").isNotNull(), F.struct(F.lit(c).alias("column"), F.col(f"n_{c}.tag").alias("tag"))) for c in fields]
+    return df.withColumns({"rejections": F.array_compact(F.array(*own, *across, *more)).cast(REJECTION), "repairs": F.array_compact(F.array(*repairs)).cast(REPAIR)})
+
+
 def assess(raw: DataFrame, policy: Policy) -> DataFrame:
     """``raw`` with each field's outcome (``n_<field>``), ``repairs`` and ``rejections`` of the row.
 
@@ -46,22 +71,11 @@ def assess(raw: DataFrame, policy: Policy) -> DataFrame:
     survives, whatever else befalls it. Only the ids that repeat are joined back; that
     side is small unless many repeat, and it is for adaptive execution to choose how.
     """
-    fields = normalisers(policy)
-    df = raw.withColumns({f"n_{c}": e for c, e in fields.items()})
-    ids = df.groupBy(F.col("n_customer_id.value").alias("dup_id")).agg(F.min("row_idx").alias("first_row"), F.count("*").alias("n")).where("dup_id IS NOT NULL AND n > 1").drop("n")
+    df, parsed = normalised(raw, policy), N.customer_id("customer_id")["value"]
+    ids = raw.select("row_idx", parsed.alias("dup_id")).groupBy("dup_id").agg(F.min("row_idx").alias("first_row"), F.count("*").alias("n")).where("dup_id IS NOT NULL AND n > 1").drop("n")
     df = df.join(ids, F.col("n_customer_id.value") == F.col("dup_id"), "left")
-    low, high = policy.ages
-    born, made = F.col("n_date_of_birth.value"), F.col("n_created_date.value")
-    own = [F.when(F.col(f"n_{c}.reason").isNotNull(), rejection(F.col(f"n_{c}.reason"), c, F.col(c))) for c in fields]
-    across = [
-        F.when(~years(born, policy.today).between(low, high), rejection("implausible_age", "date_of_birth", format_date(born))),
-        F.when(made > F.lit(policy.today), rejection("future_created_date", "created_date", format_date(made))),
-        F.when(made < born, rejection("created_before_birth", "created_date", format_date(made))),
-        F.when(F.col("row_idx") > F.col("first_row"), rejection("duplicate_customer_id", "customer_id", F.col("customer_id"))),
-    ]
-    repairs = [F.when(F.col(f"n_{c}.tag").isNotNull(), F.struct(F.lit(c).alias("column"), F.col(f"n_{c}.tag").alias("tag"))) for c in fields]
-    out = df.withColumns({"rejections": F.array_compact(F.array(*own, *across)).cast(REJECTION), "repairs": F.array_compact(F.array(*repairs)).cast(REPAIR)})
-    return out.drop("dup_id", "first_row")
+    later = F.when(F.col("row_idx") > F.col("first_row"), rejection("duplicate_customer_id", "customer_id", F.col("customer_id")))
+    return outcomes(df, policy, [later]).drop("dup_id", "first_row")
 
 
 def cleaned(assessed: DataFrame, policy: Policy, dates_as_text: bool = True) -> DataFrame:

@@ -20,16 +20,22 @@ class Detector:
     pattern: str
     category: str
     sensitivity: str
+    #: What every match holds; values without it are not searched.
+    holds: str = ""
+
+    def count(self, value: str) -> Column:
+        n = F.regexp_count(value, F.lit(self.pattern)).cast("long")
+        return F.when(F.contains(value, F.lit(self.holds)), n).otherwise(0) if self.holds else n
 
 
 # fixed values: detectors, the inventory of columns, what is suppressed, and columns that must hold no identifier
 DETECTORS = (
-    Detector("email", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}", DIRECT, "high"),
-    Detector("us_ssn", r"\b\d{3}-\d{2}-\d{4}\b", DIRECT, "critical"),
+    Detector("email", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}", DIRECT, "high", "@"),
+    Detector("us_ssn", r"\b\d{3}-\d{2}-\d{4}\b", DIRECT, "critical", "-"),
     Detector("phone", r"(?<!\d)(?:\+?1[\s.\-]?)?(?:\(\d{3}\)|\d{3})[\s.\-]?\d{3}[\s.\-]?\d{4}(?!\d)", DIRECT, "high"),
     Detector("postal_code", r"\b\d{5}(?:-\d{4})?\b", QUASI, "medium"),
-    Detector("date_iso", r"\b(?:19|20)\d{2}-\d{2}-\d{2}\b", QUASI, "medium"),
-    Detector("ip_address", r"\b(?:\d{1,3}\.){3}\d{1,3}\b", DIRECT, "medium"),
+    Detector("date_iso", r"\b(?:19|20)\d{2}-\d{2}-\d{2}\b", QUASI, "medium", "-"),
+    Detector("ip_address", r"\b(?:\d{1,3}\.){3}\d{1,3}\b", DIRECT, "medium", "."),
 )
 INVENTORY = (
     ("customer_id", "pseudonymous key", "medium"),
@@ -74,7 +80,7 @@ def hits(df: DataFrame, columns: list[str], detectors: tuple[Detector, ...] = DE
     """
     long = df.select(F.col(id_col).alias("row_idx"), F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns])).alias("x"))
     long = long.select("row_idx", "x.column", "x.value").where(~is_missing("value"))
-    counts = F.array(*[F.struct(F.lit(d.name).alias("detector"), F.regexp_count("value", F.lit(d.pattern)).cast("long").alias("n")) for d in detectors])
+    counts = F.array(*[F.struct(F.lit(d.name).alias("detector"), d.count("value").alias("n")) for d in detectors])
     found = long.select("row_idx", "column", "value", F.explode(F.filter(counts, lambda x: x["n"] > 0)).alias("x"))
     return found.select("row_idx", "column", "x.detector", "x.n", "value")
 

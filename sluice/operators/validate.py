@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions import values as V
 from sluice.functions.normalise import NAME
-from sluice.functions.text import is_missing
+from sluice.functions.text import full, is_missing
 from sluice.policy import CrossCheck, Policy
 
 #: Patterns in which Java's classes differ from the policy's dialect, and what stands for them.
@@ -26,7 +26,7 @@ def typed(c: str, dtype: str) -> Column:
         return V.parse_number(F.col(c).cast("string"))
     if dtype == "date":
         text = F.col(c).cast("string")
-        day = F.to_date(F.try_to_timestamp(text, F.lit(V.pattern("%Y-%m-%d"))))
+        day = F.when(full(text, V.shape_of("%Y-%m-%d")), F.to_date(F.try_to_timestamp(text, F.lit(V.pattern("%Y-%m-%d")))))
         return F.when(day.between(F.lit("1677-09-22").cast("date"), F.lit("2262-04-11").cast("date")), day)
     return F.col(c).cast("string")
 

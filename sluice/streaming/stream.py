@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.values import format_date, years
-from sluice.operators.clean import REJECTION, REPAIR, normalisers, rejection
+from sluice.functions.values import format_date
+from sluice.operators.clean import normalised, outcomes
 from sluice.operators.detect import hits
 from sluice.operators.mask import apply_masks
 from sluice.policy import Policy
@@ -19,18 +19,7 @@ from sluice.policy import Policy
 
 def assess(raw: DataFrame, policy: Policy) -> DataFrame:
     """As in a batch, without the rule that only the first row of an id survives."""
-    fields = normalisers(policy)
-    df = raw.withColumns({f"n_{c}": e for c, e in fields.items()})
-    low, high = policy.ages
-    born, made = F.col("n_date_of_birth.value"), F.col("n_created_date.value")
-    own = [F.when(F.col(f"n_{c}.reason").isNotNull(), rejection(F.col(f"n_{c}.reason"), c, F.col(c))) for c in fields]
-    across = [
-        F.when(~years(born, policy.today).between(low, high), rejection("implausible_age", "date_of_birth", format_date(born))),
-        F.when(made > F.lit(policy.today), rejection("future_created_date", "created_date", format_date(made))),
-        F.when(made < born, rejection("created_before_birth", "created_date", format_date(made))),
-    ]
-    repairs = [F.when(F.col(f"n_{c}.tag").isNotNull(), F.struct(F.lit(c).alias("column"), F.col(f"n_{c}.tag").alias("tag"))) for c in fields]
-    return df.withColumns({"rejections": F.array_compact(F.array(*own, *across)).cast(REJECTION), "repairs": F.array_compact(F.array(*repairs)).cast(REPAIR)})
+    return outcomes(normalised(raw, policy), policy)
 
 
 def cleaned(raw: DataFrame, policy: Policy, time_col: str | None = None, watermark: str = "1 day") -> DataFrame:
