@@ -125,6 +125,13 @@ def leak_rows(found: DataFrame) -> DataFrame:
     return leaks(found).agg(F.countDistinct("row_idx").alias("rows"))
 
 
+def leak_places(found: DataFrame, most: int) -> DataFrame:
+    """(column, detector, rows): the first ``most`` rows of each kind of leak, limited below the shuffle."""
+    w = Window.partitionBy("column", "detector").orderBy("row_idx")
+    first = leaks(found).withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= most)
+    return first.groupBy("column", "detector").agg(F.sort_array(F.collect_list("row_idx")).alias("rows"))
+
+
 def worst_leak(found: DataFrame) -> DataFrame:
     """(column, detector, sensitivity) of the severest leak; by column and detector among equals."""
     level = lookup({d.name: SEVERITY[d.sensitivity] for d in DETECTORS}, F.col("detector")).cast("int")

@@ -68,12 +68,12 @@ class Draw:
         return F.element_at(F.array(*[o if isinstance(o, Column) else F.lit(o) for o in options]), (self.integer(what, 0, len(options) - 1) + 1).cast("int"))
 
 
-def dealt(n: int, column: str, seed: int) -> Column:
-    """The row's place in the permutation of its column: row * a + b modulo n, with a prime to n."""
-    r = random.Random(f"{seed} {column}")
+def dealt(n: int, column: str, seed: int, first: int = 0) -> Column:
+    """The place of a row, from ``first`` on, in the permutation of its column: row * a + b modulo their number, with a prime to it."""
+    r, n = random.Random(f"{seed} {column}"), max(0, n - first)
     most = max(2, min(n, (1 << 62) // max(1, n)))
     a = next(x for x in iter(lambda: r.randrange(1, most), None) if math.gcd(x, n) == 1) if n > 1 else 1
-    return F.pmod(F.col("row_idx") * F.lit(a) + F.lit(r.randrange(n) if n else 0), F.lit(max(1, n)))
+    return F.pmod((F.col("row_idx") - first) * F.lit(a) + F.lit(r.randrange(n) if n else 0), F.lit(max(1, n)))
 
 
 def slices(n: int) -> dict[str, tuple[str, int, int]]:
@@ -146,7 +146,7 @@ def generate(spark: SparkSession, n_rows: int = 5000, seed: int = 42, reference_
         "created_date": back("created", 0, 2555),
     }
     base = spark.range(n_rows).withColumnRenamed("id", "row_idx").withColumns(fine)
-    places = {c: dealt(n_rows, c, seed) for c in COLUMNS}
+    places = {c: dealt(n_rows, c, seed, int(c == "customer_id")) for c in COLUMNS}  # the first row repeats no id
     cuts = slices(n_rows)
 
     def within(defect: str) -> Column:

@@ -118,8 +118,7 @@ def pii_report(raw: DataFrame, pol: Policy, p: report.Provenance) -> tuple[str,
         rate = tuple(detect.confirmation_rate(found).first())
         leaked = detect.leak_rows(found).first()[0]
         worst = detect.worst_leak(found).first()
-        first = detect.leaks(found).groupBy("column", "detector").agg(F.min("row_idx").alias("first")).collect()
-        affected = {(r["column"], r["detector"]): [x[0] for x in detect.leaks(found).where((F.col("column") == r["column"]) & (F.col("detector") == r["detector"])).select("row_idx").orderBy("row_idx").limit(6).collect()] for r in first}
+        affected = {(r["column"], r["detector"]): r["rows"] for r in detect.leak_places(found, 6).collect()}
         signed = privacy.signatures(raw, [q for q in pol.quasi_before if q in columns or (q == "address_postal" and "address" in columns)], pol)
         bands, share = dict(report.rows(privacy.k_buckets(signed))), privacy.incomplete_share(signed).first()[0]
     finally:
@@ -156,7 +155,7 @@ def reconcile(assessed: DataFrame) -> tuple[int, int, int]:
     return rows_in, rows_out, aside
 
 
-def run(spark: SparkSession, source: str, rules: str | None = None, out: str = "data", reports: str = "reports", multi_line: bool = True) -> RunResult:
+def run(spark: SparkSession, source: str, rules: str | None = None, out: str = "data", reports: str = "reports", multi_line: bool | None = None) -> RunResult:
     """Load, profile, detect, validate, clean, validate again, publish, mask, re-scan, publish the masked.
 
     The cleaned table is written only if it passes its own rules, the masked one only

@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice import policy
 from sluice.functions import masks, normalise, text, values
-from sluice.operators import clean, detect, mask, privacy, profile, score, validate
-from sluice.plans import duck
+from sluice.operators import clean, detect, generate, mask, privacy, profile, score, validate
+from sluice.plans import duck, run
 from sluice.plans.dirty import DUCK
 from sluice.plans.dirty import dirty as dirty_view
+from sluice.sources import io
 
 Query = Callable[[SparkSession, str], DataFrame]
 POLICY = policy.load()
@@ -30,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dirty_view(spark, table(spark, sf_dir, "customer"))
+    return dirty_view(spark, io.spread(table(spark, sf_dir, "customer")))
 
 
 def assessed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,13 +60,18 @@ def on_customers(name: str, sql: str, build: Callable[[DataFrame], DataFrame]) -
     query(name, sql)(lambda spark, sf_dir: build(table(spark, sf_dir, "customer")))
 
 
+def _placed(df: DataFrame, name: str) -> DataFrame:
+    """A short sorted table with the place of each row, so that its order is compared too."""
+    return df.withColumn("__id", F.monotonically_increasing_id()).withColumn(name, F.row_number().over(Window.orderBy("__id"))).drop("__id")
+
+
 # detection -----------------------------------------------------------------------------
 
 
 def _text_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = detect.hits(table(spark, sf_dir, "documents").withColumnRenamed("text", "documents_text"), ["documents_text"], id_col="doc_id")
-    pages = detect.hits(table(spark, sf_dir, "pages").withColumnRenamed("html", "pages_html"), ["pages_html"], id_col="page_id")
-    turns = detect.hits(table(spark, sf_dir, "conversations").withColumnRenamed("text", "conversations_text"), ["conversations_text"], id_col="conv_id")
+    docs = detect.hits(io.spread(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("text", "documents_text"), ["documents_text"], id_col="doc_id")
+    pages = detect.hits(io.spread(table(spark, sf_dir, "pages").select("page_id", "html")).withColumnRenamed("html", "pages_html"), ["pages_html"], id_col="page_id")
+    turns = detect.hits(io.spread(table(spark, sf_dir, "conversations").select("conv_id", "text")).withColumnRenamed("text", "conversations_text"), ["conversations_text"], id_col="conv_id")
     return docs.unionByName(pages).unionByName(turns)
 
 
@@ -99,16 +105,22 @@ def redact_documents(spark, sf_dir):
     found = F.lit(False)
     for d in detect.DETECTORS:
         found = found | F.col("text").rlike(d.pattern)
-    return table(spark, sf_dir, "documents").where(found).select("doc_id", text.redact("text").alias("redacted"))
+    return io.spread(table(spark, sf_dir, "documents").select("doc_id", "text")).where(found).select("doc_id", text.redact("text").alias("redacted"))
 
 
 _HITS = f"{DUCK}, hit AS ({duck.hits('dirty', COLUMNS, 'row_idx')})"
 _CATEGORY = "CASE detector " + " ".join(f"WHEN '{d.name}' THEN '{d.category}'" for d in detect.DETECTORS) + " END"
 _SENSITIVITY = "CASE detector " + " ".join(f"WHEN '{d.name}' THEN '{d.sensitivity}'" for d in detect.DETECTORS) + " END"
+#: No value of the dirty table holds two telephone numbers, so rows are matches; DuckDB's patterns cannot look around a number.
+_MATCHES = "CASE detector " + " ".join(f"WHEN '{d.name}' THEN " + ("1" if d.name == "phone" else f"len(regexp_extract_all(value, {duck.quoted(d.pattern)}))") for d in detect.DETECTORS) + " END"
+_PLACE = "CASE detector " + " ".join(f"WHEN '{d.name}' THEN {i}" for i, d in enumerate(detect.DETECTORS)) + " END"
 on_dirty(
     "detect_findings",
-    f"{_HITS} SELECT col AS \"column\", detector, {_CATEGORY} AS category, {_SENSITIVITY} AS sensitivity, count(*) AS row_count, {duck.suppressed()} AS is_suppressed FROM hit GROUP BY col, detector",
-    lambda df: detect.findings(detect.hits(df, COLUMNS), COLUMNS).select("column", "detector", "category", "sensitivity", "row_count", F.col("suppressed").isNotNull().alias("is_suppressed")),
+    f"""{_HITS}, valued AS (SELECT hit.*, CASE col {' '.join(f"WHEN '{c}' THEN dirty.{c}" for c in COLUMNS)} END AS value FROM hit JOIN dirty USING (row_idx)),
+found AS (SELECT col, detector, {_CATEGORY} AS category, {_SENSITIVITY} AS sensitivity, count(*) AS row_count, sum({_MATCHES})::BIGINT AS match_count,
+  array_to_string((list({duck.redact('value')} ORDER BY row_idx))[1:3], ' | ') AS samples, {duck.suppressed()} AS is_suppressed FROM valued GROUP BY col, detector)
+SELECT row_number() OVER (ORDER BY row_count DESC, list_position({[*COLUMNS]}, col), {_PLACE})::INT AS place, col AS "column", * EXCLUDE (col) FROM found""",
+    lambda df: _placed(detect.findings(detect.hits(df, COLUMNS), COLUMNS), "place").select("place", "column", "detector", "category", "sensitivity", "row_count", "match_count", F.array_join("samples", " | ").alias("samples"), F.col("suppressed").isNotNull().alias("is_suppressed")),
 )
 on_dirty("confirmed_findings", f"{_HITS} SELECT col AS \"column\", detector, count(*) AS row_count FROM hit WHERE NOT ({duck.suppressed()}) GROUP BY ALL", lambda df: detect.confirmed(detect.findings(detect.hits(df, COLUMNS), COLUMNS)).select("column", "detector", "row_count"))
 on_dirty("leak_findings", f"{_HITS} SELECT row_idx, col AS \"column\", detector FROM hit WHERE {duck.leaks()}", lambda df: detect.leaks(detect.hits(df, COLUMNS)).select("row_idx", "column", "detector"))
@@ -188,7 +200,7 @@ on_assessed(
 FROM rejection GROUP BY row_idx""",
     lambda a: clean.quarantine(a, POLICY.sensitive),
 )
-on_assessed("rejection_reasons", " SELECT reason, count(*) AS events FROM rejection GROUP BY 1", lambda a: clean.frequency(clean.rejections(a), "reason"))
+on_assessed("rejection_reasons", " SELECT row_number() OVER (ORDER BY count(*) DESC, min((row_idx, place)))::INT AS place, reason, count(*) AS events FROM rejection GROUP BY reason", lambda a: _placed(clean.frequency(clean.rejections(a), "reason"), "place"))
 on_assessed("repairs_by_tag", " SELECT tag, count(*) AS events FROM repair GROUP BY 1", lambda a: clean.frequency(clean.repairs(a), "tag"))
 on_assessed("touched_phone", " SELECT DISTINCT row_idx FROM (SELECT row_idx FROM rejection WHERE col = 'phone' UNION ALL SELECT row_idx FROM repair WHERE col = 'phone')", lambda a: clean.touched(a, "phone"))
 on_assessed(
@@ -337,10 +349,22 @@ SELECT defect, col AS "column", count(*) AS planted, count(*) FILTER (CASE WHEN
 FROM marked GROUP BY ALL"""
 
 
-@query("score_defects", _score_sql())
+_RATIOS = "handled::DOUBLE / planted AS recall, attributed::DOUBLE / planted AS attribution, 1 - escaped::DOUBLE / planted AS containment"
+
+
+@query("score_defects", f"SELECT row_number() OVER (ORDER BY recall, attribution, defect)::INT AS place, * FROM (SELECT *, {_RATIOS} FROM ({_score_sql()}))")
 def score_defects(spark, sf_dir):
+    return _placed(_scores(spark, sf_dir), "place")
+
+
+@query("score_totals", f"SELECT sum(planted)::BIGINT AS planted, sum(handled)::BIGINT AS handled, sum(attributed)::BIGINT AS attributed, sum(escaped)::BIGINT AS escaped, round(avg(handled::DOUBLE / planted), 9) AS macro_recall, round(avg(attributed::DOUBLE / planted), 9) AS macro_attribution, sum(handled)::DOUBLE / sum(planted) AS recall, sum(attributed)::DOUBLE / sum(planted) AS attribution, 1 - sum(escaped)::DOUBLE / sum(planted) AS containment FROM ({_score_sql()})")
+def score_totals(spark, sf_dir):
+    return score.totals(_scores(spark, sf_dir)).withColumns({c: F.round(c, 9) for c in ("macro_recall", "macro_attribution")})
+
+
+def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = dirty(spark, sf_dir)
-    return score.per_defect(_planted(df), clean.assess(df, POLICY), detect.hits(df, COLUMNS)).select("defect", "column", "planted", "handled", "attributed", "escaped")
+    return score.per_defect(_planted(df), clean.assess(df, POLICY), detect.hits(df, COLUMNS))
 
 
 @query("score_specificity", f"{duck.events(POLICY)}, planted AS ({' UNION ALL '.join(f'SELECT row_idx FROM dirty WHERE {w}' for _, w in PLANTED.values())}), fine AS (SELECT row_idx FROM n WHERE row_idx NOT IN (SELECT row_idx FROM planted)) SELECT count(*) AS clean_rows, count(*) FILTER (row_idx IN (SELECT row_idx FROM rejection)) AS falsely_quarantined FROM fine")
@@ -349,6 +373,59 @@ def score_specificity(spark, sf_dir):
     return score.specificity(_planted(df), clean.assess(df, POLICY))
 
 
+# generator and run ------------------------------------------------------------------------
+
+SEED = 42
+
+
+@query(
+    "generated_defects",
+    "SELECT defect, \"column\", round_even((SELECT count(*) FROM customer) * rate, 0)::BIGINT AS planted FROM (VALUES "
+    + ", ".join(f"('{d}', '{c}', {rate}::DOUBLE)" for d, (c, rate) in generate.RATES.items())
+    + ") t(defect, \"column\", rate)",
+)
+def generated_defects(spark, sf_dir):
+    """Defects planted in a made table of as many rows as ``customer`` has."""
+    planted = generate.generate(spark, table(spark, sf_dir, "customer").count(), SEED, POLICY.today)[1]
+    return planted.groupBy("defect", "column").agg(F.count("*").alias("planted"))
+
+
+_STAGES = "load profile detect_pii validate_pre clean validate_post publish mask verify_release publish_masked".split()
+
+
+@query(
+    "governed_run",
+    f"""{duck.events(POLICY)}, size AS (SELECT count(*) AS n, count(*) - (SELECT count(DISTINCT row_idx) FROM rejection) AS m FROM n)
+SELECT stage, CASE WHEN stage = 'load' THEN 0 WHEN place <= 5 THEN n ELSE m END AS rows_in, CASE WHEN place <= 4 THEN n ELSE m END AS rows_out, 'ok' AS status
+FROM size, (VALUES {', '.join(f"({i}, '{x}')" for i, x in enumerate(_STAGES, 1))}) t(place, stage)""",
+)
+def governed_run(spark, sf_dir):
+    """The whole run over the dirty table, written as CSV and read again: its stages, gates passed."""
+    root = io.scratch_dir(spark)
+    try:
+        result = run.run(spark, _raw_csv(spark, sf_dir, root), out=f"{root}/out", reports=f"{root}/reports")
+        if result.error:
+            raise RuntimeError(result.error)
+        rows = [(s.name, s.rows_in, s.rows_out, s.status) for s in result.stages]
+    finally:
+        io.remove(spark, root)
+    return spark.createDataFrame(rows, "stage string, rows_in long, rows_out long, status string")
+
+
+def _raw_csv(spark: SparkSession, sf_dir: str, root: str) -> str:
+    io.write_csv(dirty(spark, sf_dir).orderBy("row_idx").drop("row_idx"), f"{root}/customers_raw.csv")
+    return f"{root}/customers_raw.csv"
+
+
+@query("published_rows", duck.events(POLICY) + f" SELECT {', '.join(c + '::STRING AS ' + c if c == 'customer_id' else c for c in COLUMNS if c != 'income')} FROM out_rows")
+def published_rows(spark, sf_dir):
+    """The cleaned table as a reader of the published CSV finds it; amounts are compared where they are made."""
+    root = io.scratch_dir(spark)
+    raw = io.load_raw(spark, _raw_csv(spark, sf_dir, root))
+    io.write_csv(clean.cleaned(clean.assess(raw, POLICY), POLICY).select(*COLUMNS), f"{root}/out")
+    return io.load_raw(spark, f"{root}/out").select(*[c for c in COLUMNS if c != "income"])
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detectors over all free text of the tables."""
     return detect_rows(spark, sf_dir)

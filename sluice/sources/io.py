@@ -4,44 +4,61 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer splits than there are cores is dealt out over all of them, where rows cost far more than their shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def numbered(df: DataFrame, name: str = "row_idx") -> DataFrame:
-    """``df`` with its rows numbered from 0 in the order of the files, without a sort or a shuffle.
+    """A table read from files with its rows numbered from 0, in the order of the files' names and of the rows in them.
 
-    Spark's own ids grow by partition; what is collected is one count per partition,
-    and those before a partition are what its ids are short by.
+    No sort or shuffle: Spark's own ids grow within a split of a file; what is
+    collected is one count per split, and a row's number is what stands before its
+    split and its place in it.
     """
-    marked = df.withColumns({"__id": F.monotonically_increasing_id(), "__part": F.spark_partition_id()})
-    counts = sorted((r["__part"], r["count"]) for r in marked.groupBy("__part").count().collect())
+    marked = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__id"))
+    splits = marked.groupBy("__file", "__start").agg(F.count("*").alias("n"), F.min("__id").alias("first")).collect()
     before, offsets = 0, []
-    for part, n in counts:
-        offsets.append((part, before))
-        before += n
-    if len(offsets) <= 1:
-        return marked.withColumn(name, F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))).select(name, *df.columns)
-    start = df.sparkSession.createDataFrame(offsets, "__part int, __before long")
-    return marked.join(F.broadcast(start), "__part").withColumn(name, F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("__before")).select(name, *df.columns)
+    for r in sorted(splits, key=lambda r: (r["__file"], r["__start"])):
+        offsets.append((r["__file"], r["__start"], before - r["first"]))
+        before += r["n"]
+    plus = df.sparkSession.createDataFrame(offsets, "__file string, __start long, __plus long")
+    return marked.join(F.broadcast(plus), ["__file", "__start"]).withColumn(name, F.col("__id") + F.col("__plus")).select(name, *df.columns)
 
 
-def load_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def load_raw(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """A CSV with a header as text throughout, rows numbered.
 
     Only an empty cell is null; blanks, NULL and N/A stay as they are. ``multi_line``
-    lets cells hold line breaks, and makes each file one task; turn it off for large
-    files without any.
+    lets cells hold line breaks, and makes each file one task; not given, that is so
+    if any line of the files has an odd number of quotes.
     """
+    if multi_line is None:
+        line = F.col("value")
+        multi_line = not spark.read.text(path).where((F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1).isEmpty()
     raw = spark.read.options(header=True, inferSchema=False, multiLine=multi_line, escape='"', encoding="UTF-8", nullValue="", emptyValue="").csv(path)
-    blank = raw.withColumns({c: F.nullif(F.col(f"`{c}`"), F.lit("")) for c in raw.columns})
-    return numbered(blank)
+    return numbered(raw).withColumns({c: F.nullif(F.col(f"`{c}`"), F.lit("")) for c in raw.columns})
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder in the one that ``spark.checkpoint.dir`` names; in local mode, where that is unset, in one of our own."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return os.path.join(named or tempfile.mkdtemp(prefix="sluice-"), f"run-{uuid.uuid4().hex}")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
