@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import gc
+import json
 import os
 import re
 import zlib
@@ -25,7 +26,8 @@ _SPACE = re.compile(r"(?:(?![\x1c-\x1f])\s)+")
 _UNLIKE = ("\x1c", "\x1d", "\x1e", "\x1f")
 #: Words of ASCII and Latin-1 letters, which are composed already and lower-cased one by one ...
 _PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+").fullmatch
-#: ... as the tokenizer's own pattern cuts them, once lower-cased.
+#: The tokenizer's own pattern, and how it cuts such words once they are lower-cased.
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
 
 
@@ -48,6 +50,11 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        rules = json.loads(self.tokenizer.to_str())
+        cuts = [x.get("pattern", {}).get("Regex") for x in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        changes = [x["type"] for x in (rules["normalizer"] or {}).get("normalizers", [])]
+        if CUT not in cuts or changes != ["NFC", "Replace", "Lowercase"]:
+            raise ValueError(f"{tokenizer_path} is not a lower-casing word BPE that cuts words by {CUT}")
         self.words: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
 
@@ -231,10 +238,13 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
 
 
 def sequences(pieces: DataFrame, capacity: int = 2048, pad_id: int = 0, ids: str = "ids") -> DataFrame:
-    """(sequence_id, tokens, ids): the packed sequences of pieces that carry their ids, padded to ``capacity``."""
+    """(sequence_id, tokens, ids): the packed sequences of pieces that carry their ids.
+
+    They are padded to ``capacity``, but for those of as many tokens as a power of two, which stay as they are.
+    """
     rows = F.sort_array(F.collect_list(F.struct("offset", ids)))
     whole = F.aggregate(rows, F.lit(b""), lambda a, x: F.concat(a, x[ids]))
     pad = F.lit(np.array([pad_id], "<u4").tobytes())
     out = pieces.groupBy("sequence_id").agg(F.sum("length").alias("tokens"), whole.alias("ids"))
-    pads = F.aggregate(F.array_repeat(pad, (F.lit(capacity) - F.col("tokens")).cast("int")), F.lit(b""), lambda a, x: F.concat(a, x))
+    pads = F.aggregate(F.array_repeat(pad, F.when(F.bit_count("tokens") == 1, 0).otherwise(F.lit(capacity) - F.col("tokens")).cast("int")), F.lit(b""), lambda a, x: F.concat(a, x))
     return out.withColumn("ids", F.concat("ids", pads))

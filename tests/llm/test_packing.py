@@ -74,9 +74,19 @@ def test_every_id_is_packed_once(documents, corpus, clashing, payload):
 
 
 def test_sequences(spark):
-    docs = spark.createDataFrame([(1, "a b c"), (2, "d e"), (3, None)], "doc_id long, text string")
-    out = packing.sequences(packing.pack_documents(docs, PATH, capacity=16), 16, pad_id=0).collect()
-    assert all(len(r["ids"]) == 64 for r in out) and sum(r["tokens"] for r in out) == sum(len(ids_of(t)) for t in ("a b c", "d e", None))
+    for texts in (["a b c", "d e", None], ["a b c d", "e", "f g h i j k l m n o p q"]):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        out = packing.sequences(packing.pack_documents(docs, PATH, capacity=16), 16, pad_id=0).collect()
+        for r in out:  # a power of two stays as it is
+            assert len(r["ids"]) == 4 * (r["tokens"] if r["tokens"] in (1, 2, 4, 8, 16) else 16)
+        assert sum(r["tokens"] for r in out) == sum(len(ids_of(t)) for t in texts)
+
+
+def test_another_kind_of_tokenizer_is_refused(spark):
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="not a lower-casing word BPE"):
+        packing.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_repeated_null_and_no_rows(spark):

@@ -88,7 +88,7 @@ def test_op6(spark):
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)\b[^>]*>", article)]
         right += r["text"] == "\n".join(x for x in blocks if x)
         assert r["n_chars"] == len(r["text"])
-    assert len(rows) == len(pages) and right >= 0.98 * len(rows)
+    assert len(rows) == right == len(pages)
 
 
 def test_op7(spark, texts):
