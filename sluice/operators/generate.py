@@ -89,7 +89,7 @@ def slices(n: int) -> dict[str, tuple[str, int, int]]:
 
 
 def _defects(d: Draw, c: dict[str, Column], today: dt.date) -> dict[str, Column]:
-    """What stands in the cell of each defect."""
+    """What stands in the cell of each defect; the lists of bad phones, dates, statuses, addresses and e-mails are fixed values."""
     p = [d.integer(f"defect phone {i}", a, b).cast("string") for i, (a, b) in enumerate(((200, 999), (200, 999), (1000, 9999)))]
     first, last = F.lower(c["first_name"]), F.lower(c["last_name"])
     blank = lambda what: d.one_of(f"blank {what}", ["", "   ", "NULL", "N/A", F.lit(None).cast("string")])

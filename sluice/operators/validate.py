@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import values as V
-from sluice.functions.normalise import NAME
 from sluice.functions.text import full, is_missing
 from sluice.policy import CrossCheck, Policy
 
-#: Patterns in which Java's classes differ from the policy's dialect, and what stands for them.
-_DIALECT = {r"^[^\W\d_](?:[^\W\d_]|[ '\-])*$": rf"^{NAME}$"}
+#: The policy's dialect writes "a letter of any script" so, which would be ASCII letters alone in Java.
+_LETTER = (r"[^\W\d_]", r"[\p{L}\p{Nl}\p{No}]")
 FAILURE = "array<struct<column: string, check: string, value: string>>"
 
 
@@ -32,7 +31,8 @@ def typed(c: str, dtype: str) -> Column:
 
 
 def _pattern(c: Column, pattern: str) -> Column:
-    return c.rlike(_DIALECT.get(pattern, pattern))
+    """Whether a value matches from its start on."""
+    return c.rlike(rf"\A(?:{pattern.replace(*_LETTER)})")
 
 
 def checks(policy: Policy, column: str) -> list[tuple[str, Column]]:
