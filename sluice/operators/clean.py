@@ -15,23 +15,23 @@ REPAIR = "array<struct<column: string, tag: string>>"
 
 
 def normalisers(policy: Policy, read: bool = False) -> dict[str, Column]:
-    """The normaliser of every field, in the order their outcomes are listed; ``read``: over the columns that ``normalised`` makes."""
+    """The normaliser of every field, in the order their outcomes are listed; ``read``: its parts, over the columns that ``normalised`` makes."""
     name_checks, address_checks = policy.checks("first_name"), policy.checks("address")
     name_bounds = {k: int(name_checks[k]) for k in ("min_len", "max_len") if k in name_checks}
     address_bounds = {k: int(address_checks[k]) for k in ("min_len", "max_len") if k in address_checks}
     made = lambda **names: {k: F.col(v) for k, v in names.items()} if read else {}
     days = lambda c: {"days": [F.col(f"d{i}_{c}") for i in range(len(policy.date_formats))]} if read else {}
     return {
-        "customer_id": N.customer_id("customer_id"),
-        "first_name": N.name("first_name", **name_bounds, **made(text="k_first_name", titled="u_first_name")),
-        "last_name": N.name("last_name", **name_bounds, **made(text="k_last_name", titled="u_last_name")),
-        "email": N.email("email"),
-        "phone": N.phone("phone"),
-        "date_of_birth": N.date("date_of_birth", policy.date_formats, **days("date_of_birth")),
-        "address": N.address("address", **address_bounds, **made(text="k_address")),
-        "income": N.income("income", policy.income_cap),
-        "account_status": N.status("account_status", policy.statuses, policy.aliases),
-        "created_date": N.date("created_date", policy.date_formats, **days("created_date")),
+        "customer_id": N.customer_id("customer_id", parts=read),
+        "first_name": N.name("first_name", **name_bounds, **made(text="k_first_name", titled="u_first_name"), parts=read),
+        "last_name": N.name("last_name", **name_bounds, **made(text="k_last_name", titled="u_last_name"), parts=read),
+        "email": N.email("email", parts=read),
+        "phone": N.phone("phone", parts=read),
+        "date_of_birth": N.date("date_of_birth", policy.date_formats, **days("date_of_birth"), parts=read),
+        "address": N.address("address", **address_bounds, **made(text="k_address"), parts=read),
+        "income": N.income("income", policy.income_cap, parts=read),
+        "account_status": N.status("account_status", policy.statuses, policy.aliases, parts=read),
+        "created_date": N.date("created_date", policy.date_formats, **days("created_date"), parts=read),
     }
 
 
@@ -41,7 +41,9 @@ def normalised(raw: DataFrame, policy: Policy) -> DataFrame:
     days = {f"d{i}_{c}": parse_date(c, f) for c in ("date_of_birth", "created_date") for i, f in enumerate(policy.date_formats)}
     titled = {f"u_{c}": title(f"k_{c}") for c in ("first_name", "last_name")}
     read = raw.withColumns(single | days).withColumns(titled)
-    return read.select(*[F.col(f"`{c}`") for c in raw.columns], *[e.alias(f"n_{c}") for c, e in normalisers(policy, read=True).items()])
+    fields, given = normalisers(policy, read=True), [F.col(f"`{c}`") for c in raw.columns]
+    parts = read.select(*given, *[x.alias(f"p{i}_{c}") for c, e in fields.items() for i, x in enumerate(e)])
+    return parts.select(*given, *[N.joined(*[F.col(f"p{i}_{c}") for i in range(3)]).alias(f"n_{c}") for c in fields])
 
 
 def rejection(reason: str | Column, column: str, value: Column) -> Column:
