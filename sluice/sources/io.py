@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import json
 import os
 import tempfile
@@ -54,11 +55,14 @@ def load_raw(spark: SparkSession, path: str, multi_line: bool | None = None) ->
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder in the one that ``spark.checkpoint.dir`` names; in local mode, where that is unset, in one of our own."""
+    """A new folder in the one that ``spark.checkpoint.dir`` names; in local mode, where that is unset, in one of our own. It goes when the driver ends."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not named and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return os.path.join(named or tempfile.mkdtemp(prefix="sluice-"), f"run-{uuid.uuid4().hex}")
+    root = os.path.join(named or tempfile.mkdtemp(prefix="sluice-"), f"run-{uuid.uuid4().hex}")
+    sc = spark.sparkContext
+    atexit.register(lambda: sc._jsc is not None and not sc._jsc.sc().isStopped() and remove(spark, root))
+    return root
 
 
 def write_csv(df: DataFrame, path: str) -> None:
