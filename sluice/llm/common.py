@@ -49,6 +49,10 @@ def text_batches(spark: SparkSession, rows: int = 2048) -> None:
         spark.conf.set(name, str(rows))
 
 
+#: Whether a query's shuffle files go at its end.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Written tables in the shared folder: lineage ends there, and they are read more than once.
 
@@ -68,8 +72,14 @@ class Scratch:
             Scratch.scopes[-1].append(self)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.option("compression", "zstd").parquet(path)
+        """``df`` as a table; the shuffles that made it go at once, not when the driver next collects garbage."""
+        path, conf = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}", self.spark.conf
+        before = conf.get(_CLEANUP, "false")
+        conf.set(_CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *frames: DataFrame | None) -> None:
